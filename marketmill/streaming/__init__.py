@@ -1,0 +1,5 @@
+"""Intentionally empty: every job of this warehouse is a batch job.
+
+The loads are full snapshots and the marts are rebuilt from them, so there is no
+stream to read and no state to keep between runs.
+"""

@@ -146,7 +146,8 @@ def item_reviews(items: DataFrame, reviews: DataFrame) -> DataFrame:
     """Items with the reviews of their order, one row for each pair.
 
     An item of an order with two reviews is there twice, and so are its price and
-    freight in every sum over these rows.
+    freight in every sum over these rows. The seller mart gets the same sums without
+    these rows (`seller_summary`); this is for looking at the rows themselves.
     """
     scores = reviews.select("order_id", "review_score")
     return items.select("seller_id", "order_id", "price", "freight_value").join(

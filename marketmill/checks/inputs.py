@@ -5,7 +5,7 @@ the data itself: suppliers are registered as customers who never order, customer
 sellers who never sell, orders of unstated priority belong to an unknown guest,
 orders without line items were never paid, and pending orders have no review.
 
-`oracles.RAW` holds the same tables as SQL.
+`sql.RAW` holds the same tables as SQL.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from marketmill.plans.marts import customer_orders_masked, mart
 from marketmill.plans.staging import raw_table_of, staging
-from marketmill.schemas import MANIFEST_SCHEMA
 from marketmill.session import scratch_path
 from marketmill.sources.csv_files import write_csv_table
 from marketmill.sources.tables import Warehouse, in_parallel
@@ -239,8 +238,8 @@ def all_raw(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: build(spark, sf_dir) for name, build in RAW_TABLES.items()}
 
 
-def manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One catalog document, as JSON text, per row of `documents`.
+def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One catalog document per row of `documents`.
 
     English and German documents count as models, the others as tests. The language
     column is described with white space around it, the source column is blank where
@@ -266,14 +265,15 @@ def manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             described(F.lit(None).cast("string")),
         ).alias("columns"),
     )
-    document = F.struct(F.create_map(F.concat(F.lit("node."), name), node).alias("nodes"))
-    return docs.join(labels, "doc_id", "left").select("doc_id", F.to_json(document).alias("value"))
+    nodes = F.create_map(F.concat(F.lit("node."), name), node)
+    return docs.join(labels, "doc_id", "left").select(nodes.alias("nodes"))
 
 
-def manifests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same documents, parsed."""
-    parsed = F.from_json("value", f"nodes {MANIFEST_SCHEMA.strip().removeprefix('nodes').strip()}")
-    return manifest_documents(spark, sf_dir).select(parsed.alias("m")).select("m.nodes")
+def manifest_files(spark: SparkSession, sf_dir: str) -> str:
+    """The same documents as JSON files, one per line; returns their folder."""
+    path = scratch_path(spark, "manifests")
+    manifests(spark, sf_dir).select(F.to_json(F.struct("nodes"))).write.text(path)
+    return path
 
 
 def vector_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:

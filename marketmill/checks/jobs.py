@@ -12,7 +12,7 @@ from marketmill.checks.inputs import (
     event_catalog,
     first_vectors,
     is_old,
-    manifest_documents,
+    manifest_files,
     manifests,
     question,
     vector_catalog,
@@ -197,8 +197,7 @@ def table_scan(given: Given) -> DataFrame:
     "SELECT node_id, resource_type, name, description FROM nodes",
 )
 def json_manifest_scan(given: Given) -> DataFrame:
-    path = scratch_path(given.spark, "manifests")
-    manifest_documents(given.spark, given.sf_dir).select("value").write.text(path)
+    path = manifest_files(given.spark, given.sf_dir)
     scanned = read_manifests(given.spark, path, multi_line=False)
     return exploded_nodes(scanned).select("node_id", "resource_type", "name", "description")
 
@@ -455,8 +454,7 @@ def vector_ivf(given: Given) -> DataFrame:
 )
 def catalog_index(given: Given) -> DataFrame:
     """Documents to catalog, indexed twice: the second run updates in place."""
-    path = scratch_path(given.spark, "manifests")
-    manifest_documents(given.spark, given.sf_dir).select("value").write.text(path)
+    path = manifest_files(given.spark, given.sf_dir)
     warehouse = given.warehouse("index")
     for _ in range(2):
         index_catalog(warehouse, path, hashed_words, RUN_AT, multi_line=False)

@@ -224,14 +224,14 @@ def fn_concat_label(given: Given) -> DataFrame:
 
 @check(
     "fn_cosine_distance",
-    """SELECT a.id, round(1 - list_dot_product(a.v, b.v) / (a.len * b.len), 6) AS distance
+    """SELECT a.id, round(1 - list_dot_product(a.v, b.v) / (a.len * b.len), 6) + 0.0 AS distance
        FROM lengths a JOIN lengths b ON b.id = a.label""",
 )
 def fn_cosine_distance(given: Given) -> DataFrame:
     """Distance of every vector to the one whose id is its label."""
     vectors = given.table("embeddings")
     other = vectors.select(F.col("vec_id").alias("label"), F.col("embedding").alias("other"))
-    distance = F.round(cosine_distance("embedding", "other"), 6)
+    distance = F.round(cosine_distance("embedding", "other"), 6) + 0.0  # no minus zero
     return vectors.join(other.withColumn("label", F.col("label").cast("int")), "label").select(
         F.col("vec_id").alias("id"), distance.alias("distance")
     )

@@ -10,12 +10,12 @@ from marketmill.functions.text import as_column
 MONEY = "decimal(10,2)"
 
 
-def rounded_int(col: Column | str, to: str = "int") -> Column:
+def rounded_int(col: Column | str) -> Column:
     """Integer cast that rounds half to even, where Spark's own cast cuts off.
 
     Integer columns with gaps arrive as `45.0`, so text goes through double first.
     """
-    return F.bround(as_column(col).cast("double")).cast(to)
+    return F.bround(as_column(col).cast("double")).cast("int")
 
 
 def money(col: Column | str) -> Column:

@@ -163,14 +163,12 @@ def build_lists(
     path: str,
     lists: int = LISTS,
     vector: str = "embedding",
-    id_column: str = "id",
-    files_per_list: int = 8,
     seed: int = 42,
 ) -> ListIndex:
     """Cluster by direction and store each cluster as one partition folder.
 
-    Lists are as uneven as the data; each is spread over `files_per_list` writers, so
-    a list that holds a third of the rows is not written by one task.
+    Lists are as uneven as the data. They are rebalanced for the write: a list that
+    holds a third of the rows is split over many tasks, small ones are merged.
     """
     values = F.col(vector)
     squares = F.aggregate(values, F.lit(0.0), lambda total, x: total + x * x)
@@ -183,12 +181,9 @@ def build_lists(
     rest = corpus.where(~F.coalesce(usable, F.lit(False))).withColumn(
         "list_id", F.lit(UNLISTED)
     )
-    spread = F.pmod(F.xxhash64(id_column), F.lit(files_per_list))
     (
         assigned.unionByName(rest)
-        .withColumn("_spread", spread)
-        .repartition("list_id", "_spread")
-        .drop("_spread")
+        .hint("rebalance", "list_id")
         .write.mode("overwrite")
         .partitionBy("list_id")
         .parquet(path)

@@ -80,7 +80,8 @@ def index_catalog(
         return {"stored": 0, "skipped": rows.count()}
     catalog = ensure_catalog(warehouse)
     path = scratch_path(spark, "embedded")
-    embed(rows).withColumn("updated_at", F.lit(run_at).cast("timestamp")).write.parquet(path)
+    now = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
+    embed(rows).withColumn("updated_at", now).write.parquet(path)
     batch = spark.read.parquet(path)
     changed = upserted(catalog, batch, [F.col("manifest").desc(), F.col("position").desc()])
     warehouse.replace(changed, CATALOG_NAMESPACE, CATALOG_TABLE)

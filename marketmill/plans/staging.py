@@ -22,10 +22,6 @@ def cast_to(kind: str) -> Rule:
     return lambda name: as_column(name).cast(kind)
 
 
-def key(name: str) -> Column:
-    return rounded_int(name, to="bigint")
-
-
 text = cast_to("string")
 day = cast_to("date")
 moment = cast_to("timestamp_ntz")
@@ -133,10 +129,18 @@ def raw_table_of(model: str) -> str:
 
 
 def cleaned(model: str, raw: DataFrame) -> DataFrame:
-    """The column rules of `model`, row by row."""
-    return raw.select(
-        *(rule(name).alias(*(renamed or [name])) for name, rule, *renamed in RULES[model])
-    )
+    """The column rules of `model`, row by row.
+
+    Whole numbers are rounded only where the raw column is not one already, so that
+    filters on those that are can be pushed to the scan.
+    """
+    kinds = dict(raw.dtypes)
+    columns = []
+    for name, rule, *renamed in RULES[model]:
+        is_whole = rule is whole and kinds[name] == "int"
+        value = as_column(name) if is_whole else rule(name)
+        columns.append(value.alias(*(renamed or [name])))
+    return raw.select(*columns)
 
 
 def one_per_prefix(places: DataFrame) -> DataFrame:

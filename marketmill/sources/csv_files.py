@@ -34,7 +34,10 @@ def missing_files(spark: SparkSession, root: str, names: Iterable[str]) -> list[
 
 def require_files(spark: SparkSession, root: str, names: Iterable[str]) -> None:
     """Fail before anything is written, naming every file that is not there."""
-    missing = missing_files(spark, root, names)
+    raise_if_missing(root, missing_files(spark, root, names))
+
+
+def raise_if_missing(root: str, missing: list[str]) -> None:
     if missing:
         raise FileNotFoundError(f"missing in {root}: {', '.join(missing)}")
 
@@ -95,11 +98,21 @@ def read_csv_table(
 def read_csv_tables(
     spark: SparkSession, root: str, files: Mapping[str, str]
 ) -> dict[str, DataFrame]:
-    require_files(spark, root, files)
-    return {
-        table: read_csv_table(spark, f"{root.rstrip('/')}/{name}", table)
-        for name, table in files.items()
-    }
+    """All landing files as lazy frames; fails like `require_files`.
+
+    Opening a frame lists its files, so a file that is not there shows up here
+    without a second listing of those that are.
+    """
+    frames, missing = {}, []
+    for name, table in files.items():
+        try:
+            frames[table] = read_csv_table(spark, f"{root.rstrip('/')}/{name}", table)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing.append(name)
+    raise_if_missing(root, missing)
+    return frames
 
 
 def load_csv_tables(

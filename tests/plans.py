@@ -15,5 +15,7 @@ def plan(df) -> str:
 
 def final_plan(df) -> str:
     """The plan after a run, with the choices made on the way."""
-    df.write.format("noop").mode("overwrite").save()
-    return plan(df)
+    df.collect()
+    text = plan(df)
+    assert "isFinalPlan=true" in text
+    return text

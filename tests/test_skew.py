@@ -185,6 +185,29 @@ def test_numbering(spark):
     assert [r["k"] for r in again.orderBy("nr").collect()] == [r["k"] for r in found]
 
 
+def test_hot_keys_of_a_join_are_split(spark, shop):
+    """The customer id that a thirtieth of the customers and a third of the orders share."""
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "100",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {key: spark.conf.get(key, None) for key in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        rows = marts.orders_of_customers(
+            shop["orders"].hint("merge"), shop["payments"], shop["customers"]
+        )
+        assert "skew=true" in final_plan(rows)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_filters_and_columns_reach_the_scan(spark, shop):
     mart = marts.marketplace_customer_orders(
         shop["orders"], shop["payments"], shop["customers"]

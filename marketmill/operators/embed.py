@@ -19,10 +19,11 @@ ATTEMPTS = 3
 PAUSES = (2, 4, 8)
 
 TEXTS_PER_CALL = 256
+DIMENSIONS = 64  # of the offline embedder
 
 
 def hashed_words(
-    df: DataFrame, text: str = "description", size: int = 64, output: str = "embedding"
+    df: DataFrame, text: str = "description", size: int = DIMENSIONS, output: str = "embedding"
 ) -> DataFrame:
     """Offline embedder: word counts hashed to `size` places, at length one."""
     words = Tokenizer(inputCol=text, outputCol="_words")

@@ -8,7 +8,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketmill.functions.vectors import checked_vector
 from marketmill.operators.descriptions import ordered_catalog_rows
+from marketmill.operators.embed import DIMENSIONS
 from marketmill.operators.latest import latest_per_key
 from marketmill.operators.nearest import TOP_K, nearest
 from marketmill.operators.upsert import upsert
@@ -66,13 +68,15 @@ def index_catalog(
     embed: Embed | None,
     run_at: datetime,
     multi_line: bool = True,
+    size: int = DIMENSIONS,
 ) -> dict[str, int]:
     """Read the documents, embed their descriptions and bring the catalog up to date.
 
     Returns `{"stored": n, "skipped": m}`: without an embedder nothing is stored and
     all rows are counted as skipped. Embedded rows are written before the update
     reads them more than once, so no text is embedded a second time. Of descriptions
-    of one key the last one wins, by file and by place in the file.
+    of one key the last one wins, by file and by place in the file. A vector of
+    another `size` fails the run.
     """
     spark = warehouse.spark
     rows = ordered_catalog_rows(read_manifests(spark, manifests, multi_line))
@@ -81,7 +85,9 @@ def index_catalog(
     catalog = ensure_catalog(warehouse)
     path = scratch_path(spark, "embedded")
     now = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
-    embed(rows).withColumn("updated_at", now).write.parquet(path)
+    embed(rows).withColumns(
+        {"embedding": checked_vector("embedding", size), "updated_at": now}
+    ).write.parquet(path)
     batch = spark.read.parquet(path)
     changed = upserted(catalog, batch, [F.col("manifest").desc(), F.col("position").desc()])
     warehouse.replace(changed, CATALOG_NAMESPACE, CATALOG_TABLE)

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Only settings that hold at every data size. Shuffle width is left to AQE, which
-# starts from `initialPartitionNum` and merges small partitions at run time.
+# Settings that hold at every data size.
 BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -24,26 +24,45 @@ LOCAL_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
-# For a cluster reading ~100 TB: 256 MB read splits and enough initial shuffle
-# partitions that one of them still fits in a task's memory; AQE merges the rest.
-CLUSTER_CONF = {
-    "spark.sql.files.maxPartitionBytes": "268435456",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "268435456",
-    "spark.sql.shuffle.partitions": "20000",
-}
+PARTITION_BYTES = 256 * 1024**2
+TERABYTE = 1024**4
+
+
+def cluster_conf(shuffle_bytes: int) -> dict[str, str]:
+    """Read splits, shuffle partitions and written files of about 256 MB.
+
+    `shuffle_bytes` is what the largest shuffle is expected to move. AQE merges
+    partitions that turn out smaller, up to that size and not just to keep all cores
+    busy, so that tables are not written as many small files.
+    """
+    width = str(max(200, math.ceil(shuffle_bytes / PARTITION_BYTES)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+        "spark.sql.shuffle.partitions": width,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": width,
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(PARTITION_BYTES),
+    }
 
 
-def build_session(app: str = "marketmill", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the base settings; `master="local[n]"` adds the local ones.
+def build_session(
+    app: str = "marketmill",
+    master: str | None = None,
+    shuffle_bytes: int = 5 * TERABYTE,
+    **conf: str,
+) -> SparkSession:
+    """A session with the base settings, and those for a local run or for a cluster.
 
-    Keyword settings use `__` for the dots, e.g. `spark__driver__memory="8g"`.
+    `shuffle_bytes` sizes the shuffles of a cluster: reading 100 TB of wide raw tables,
+    the marts move a few columns of them, merged per task. Keyword settings use `__`
+    for the dots, e.g. `spark__driver__memory="8g"`.
     """
     builder = SparkSession.builder.appName(app)
     settings = dict(BASE_CONF)
     if master is not None:
         builder = builder.master(master)
-    settings.update(LOCAL_CONF if (master or "").startswith("local") else CLUSTER_CONF)
+    local = (master or "").startswith("local")
+    settings.update(LOCAL_CONF if local else cluster_conf(shuffle_bytes))
     settings.update({key.replace("__", "."): value for key, value in conf.items()})
     for key, value in settings.items():
         builder = builder.config(key, value)

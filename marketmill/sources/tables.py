@@ -11,6 +11,7 @@ from typing import TypeVar
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 T = TypeVar("T")
 
@@ -34,6 +35,7 @@ class Written:
     namespace: str
     table: str
     location: str
+    schema: StructType
     rows: int
 
 
@@ -74,7 +76,7 @@ class Warehouse:
         location = f"{self.root}/{namespace}/{table}/{uuid.uuid4().hex}"
         counted = Observation()
         df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(location)
-        return Written(namespace, table, location, counted.get["rows"])
+        return Written(namespace, table, location, df.schema, counted.get["rows"])
 
     def publish(self, written: Written) -> int:
         """Point the table name at the new copy."""
@@ -83,7 +85,9 @@ class Warehouse:
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{written.location}'")
             self.spark.catalog.refreshTable(name)
         else:
-            self.spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{written.location}'")
+            self.spark.catalog.createTable(
+                name, path=written.location, source="parquet", schema=written.schema
+            )
         return written.rows
 
     def replace(self, df: DataFrame, namespace: str, table: str) -> int:

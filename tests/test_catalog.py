@@ -213,6 +213,13 @@ def test_index_twice(spark, warehouse, tmp_path):
     assert second["model"]["updated_at"] == datetime(2024, 6, 2)
 
 
+def test_vectors_of_another_size_are_refused(spark, warehouse, tmp_path):
+    path = documents(tmp_path / "m", DOCUMENT)
+    with pytest.raises(Exception, match="expected 32 dimensions, not 64"):
+        index_catalog(warehouse, path, hashed_words, RUN_AT, size=32)
+    assert ensure_catalog(warehouse).count() == 0
+
+
 def test_question_finds_its_text(spark, warehouse, tmp_path):
     path = documents(tmp_path / "m", DOCUMENT)
     index_catalog(warehouse, path, hashed_words, RUN_AT)

@@ -99,6 +99,27 @@ def test_line_breaks_and_quotes_in_reviews(spark, tmp_path):
     assert found[1]["review_comment_title"] is None
 
 
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_byte_order_mark_and_windows_line_ends(spark, tmp_path, multi_line):
+    text = "\ufeffproduct_category_name,product_category_name_english\r\na,b\r\nc,\r\n"
+    path = tmp_path / "t.csv"
+    path.write_bytes(text.encode("utf-8"))
+    found = read_csv_table(
+        spark, str(path), "olist_product_category_translation", multi_line=multi_line
+    )
+    assert sorted(map(tuple, found.collect()), key=str) == [("a", "b"), ("c", None)]
+
+
+def test_folder_of_parts_is_one_table(spark, tmp_path):
+    head, *lines = rows.MARKETPLACE["olist_orders_dataset.csv"].splitlines()
+    parts = {f"part-{i}.csv": f"{head}\n{line}\n" for i, line in enumerate(lines)}
+    write_files(tmp_path / "landing" / "olist_orders_dataset.csv", parts)
+    found = read_csv_table(
+        spark, str(tmp_path / "landing" / "olist_orders_dataset.csv"), "olist_orders"
+    )
+    assert found.count() == 5 and found.where("order_approved_at IS NULL").count() == 1
+
+
 @pytest.mark.parametrize(
     "text",
     [

@@ -131,70 +131,89 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
     return keys.join(known, column, "left_anti")
 
 
-def report_row(test: Test, failures: Column | None = None) -> list[Column]:
-    return [
-        F.lit(test.model).alias("model"),
-        F.lit(test.column).alias("column"),
-        F.lit(test.name).alias("test"),
-        *([] if failures is None else [failures.cast("bigint").alias("failures")]),
+def one_row_per_test(totals: DataFrame, tests: Sequence[Test]) -> DataFrame:
+    """The single row (t0, t1, ...) as (model, column, test, failures)."""
+    rows = [
+        F.struct(
+            F.lit(test.model).alias("model"),
+            F.lit(test.column).alias("column"),
+            F.lit(test.name).alias("test"),
+            F.col(f"t{i}").cast("bigint").alias("failures"),
+        )
+        for i, test in enumerate(tests)
     ]
+    return totals.select(F.inline(F.array(*rows)))
 
 
 def row_test_report(df: DataFrame, tests: Sequence[RowTest]) -> DataFrame:
     """All one-row tests of a model from a single pass over it."""
-    counts = df.agg(
-        *(F.count(F.when(test.fails(), 1)).alias(f"t{i}") for i, test in enumerate(tests))
-    )
-    rows = F.array(
-        *(F.struct(*report_row(test, F.col(f"t{i}"))) for i, test in enumerate(tests))
-    )
-    return counts.select(F.inline(rows))
-
-
-def unique_report(df: DataFrame, test: Unique) -> DataFrame:
-    """Failures are repeated values, not the rows that hold them."""
-    return repeated_values(df, test.column).agg(F.count(F.lit(1)).alias("n")).select(
-        *report_row(test, F.col("n"))
-    )
+    totals = df.agg(*(F.count_if(test.fails()).alias(f"t{i}") for i, test in enumerate(tests)))
+    return one_row_per_test(totals, tests)
 
 
-def relationship_report(tables: Tables, test: Relationship) -> DataFrame:
-    """Failures are child rows."""
-    lost = orphans(tables[test.model], test.column, tables[test.parent], test.parent_column)
-    return lost.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n")).select(
-        *report_row(test, F.col("n"))
-    )
-
+def key_report(
+    tables: Tables, parent: str, column: str, tests: Sequence[Unique | Relationship]
+) -> DataFrame:
+    """All tests about one key, with the rows of its table and of every table that
+    refers to it counted per key value in one go.
 
-def model_report(tables: Tables, tests: Sequence[Test]) -> DataFrame:
-    """(model, column, test, failures) for the tests of one model."""
-    parts: list[DataFrame] = []
-    row_tests: list[RowTest] = []
+    A value with several rows in `parent` is a failure of its unique test; rows of a
+    referring table under a value without any are failures of its relationship. The
+    counts are merged per task, so hot values cost one row each, and the key's table
+    is shuffled once however many tables refer to it.
+    """
+    sides = [(parent, column)]
     for test in tests:
-        if isinstance(test, Unique):
-            parts.append(unique_report(tables[test.model], test))
-        elif isinstance(test, Relationship):
-            parts.append(relationship_report(tables, test))
-        else:
-            row_tests.append(test)
-    if row_tests:
-        parts.append(row_test_report(tables[row_tests[0].model], row_tests))
-    return reduce(DataFrame.unionByName, parts)
+        if isinstance(test, Relationship):
+            sides.append((test.model, test.column))
+    keys = [
+        tables[model].select(F.col(name).alias("key"), F.lit(place).alias("side"))
+        for place, (model, name) in enumerate(sides)
+    ]
+    counted = (
+        reduce(DataFrame.union, keys)
+        .where(F.col("key").isNotNull())
+        .groupBy("key")
+        .agg(
+            *(
+                F.count_if(F.col("side") == place).alias(f"side{place}")
+                for place in range(len(sides))
+            )
+        )
+    )
+    held = F.col("side0")
+    lost = {
+        side: F.sum(F.when(held == 0, F.col(f"side{place}"))) for place, side in enumerate(sides)
+    }
+    failures = [
+        F.count_if(held > 1) if isinstance(test, Unique) else lost[test.model, test.column]
+        for test in tests
+    ]
+    totals = counted.agg(
+        *(F.coalesce(found, F.lit(0)).alias(f"t{i}") for i, found in enumerate(failures))
+    )
+    return one_row_per_test(totals, tests)
 
 
 def quality_report(spark: SparkSession, tables: Tables, tests: Sequence[Test]) -> DataFrame:
     """(model, column, test, failures) for every test.
 
-    Models are tested side by side, a job each. Only the counts come back, one row
-    per test.
+    One job per model for its row tests and one per key for the tests about it, some
+    of them side by side. Only the counts come back, one row per test.
     """
-    by_model: dict[str, list[Test]] = {}
+    of_rows: dict[str, list[RowTest]] = {}
+    of_keys: dict[tuple[str, str], list[Unique | Relationship]] = {}
     for test in tests:
-        by_model.setdefault(test.model, []).append(test)
-    reports = {model: model_report(tables, found) for model, found in by_model.items()}
-    rows = in_parallel(
-        spark, {model: report.collect for model, report in reports.items()}
-    )
+        if isinstance(test, Unique):
+            of_keys.setdefault((test.model, test.column), []).append(test)
+        elif isinstance(test, Relationship):
+            of_keys.setdefault((test.parent, test.parent_column), []).append(test)
+        else:
+            of_rows.setdefault(test.model, []).append(test)
+    reports = {f"rows of {m}": row_test_report(tables[m], found) for m, found in of_rows.items()}
+    for (model, column), found in of_keys.items():
+        reports[f"key {model}.{column}"] = key_report(tables, model, column, found)
+    rows = in_parallel(spark, {name: report.collect for name, report in reports.items()})
     schema = "model string, column string, test string, failures bigint"
     return spark.createDataFrame([row for found in rows.values() for row in found], schema)
 

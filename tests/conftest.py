@@ -43,8 +43,3 @@ def write_files(folder, texts):
 @pytest.fixture
 def marketplace_files(tmp_path):
     return write_files(tmp_path / "landing", rows.MARKETPLACE)
-
-
-@pytest.fixture
-def seed_files(tmp_path):
-    return write_files(tmp_path / "seeds", rows.SEEDS)

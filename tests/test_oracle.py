@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
@@ -32,6 +33,24 @@ def second_engine():
     return connection
 
 
+@pytest.fixture(scope="module")
+def answers(spark, request):
+    """All chosen queries, four at a time: (types, rows) by name."""
+
+    def run(query):
+        found = query(spark, SF_DIR)
+        return found.dtypes, found.collect()
+
+    names = [
+        item.callspec.params["name"]
+        for item in request.session.items
+        if item.module is request.module and hasattr(item, "callspec")
+    ]
+    pool = ThreadPoolExecutor(4)
+    yield {name: pool.submit(run, entry.queries()[name]) for name in names}
+    pool.shutdown(cancel_futures=True)
+
+
 def shown(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value)
@@ -52,14 +71,13 @@ def test_entry(spark):
 
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
-def test_query(spark, second_engine, name):
-    found = entry.queries()[name](spark, SF_DIR)
-    rows = found.collect()
+def test_query(answers, second_engine, name):
+    types, rows = answers[name].result()
     sql = entry.oracle_sql().get(name)
     if sql is None:
         assert rows
         return
     result = second_engine.execute(sql)
     kinds = {column[0]: str(column[1]) for column in result.description}
-    assert {name: KINDS[kind] for name, kind in found.dtypes} == kinds
-    assert table(found.columns, rows) == table(list(kinds), result.fetchall())
+    assert {name: KINDS[kind] for name, kind in types} == kinds
+    assert table([name for name, _ in types], rows) == table(list(kinds), result.fetchall())

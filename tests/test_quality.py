@@ -14,6 +14,7 @@ from marketmill.operators.quality import (
     Unique,
     assert_all_pass,
     failing_rows,
+    key_report,
     orphans,
     quality_report,
     repeated_values,
@@ -82,6 +83,30 @@ def test_tests_of_one_model_share_a_scan(spark, tmp_path):
     assert text.count("Scan parquet") == 2  # once in the tree, once in the details
 
 
+def test_tests_of_one_key_share_a_shuffle(spark, tmp_path):
+    for name in ("orders", "items", "payments"):
+        spark.range(10).selectExpr("id AS order_id").write.parquet(str(tmp_path / name))
+    stored = {
+        name: spark.read.parquet(str(tmp_path / name)) for name in ("orders", "items", "payments")
+    }
+    tests = [
+        Unique("orders", "order_id"),
+        Relationship("items", "order_id", "orders", "order_id"),
+        Relationship("payments", "order_id", "orders", "order_id"),
+    ]
+    text = plan(key_report(stored, "orders", "order_id", tests))
+    assert text.count("Scan parquet") == 2 * 3
+    assert text.count("hashpartitioning") == 1 and "Join" not in text
+
+
+def test_key_without_a_unique_test(spark, tables):
+    report = quality_report(spark, tables, [TESTS[7]])
+    assert [r["failures"] for r in report.collect()] == [2]
+    empty = {name: df.limit(0) for name, df in tables.items()}
+    report = quality_report(spark, empty, TESTS)
+    assert [r["failures"] for r in report.collect()] == [0] * len(TESTS)
+
+
 def test_orphans_of_a_hot_key(spark):
     """Two thirds of the rows under two keys, one of them unknown."""
     child = spark.range(30_000).selectExpr(

@@ -67,11 +67,12 @@ def row_counts(given: Given, counts: dict[str, int]) -> DataFrame:
 
 @check(
     "csv_ingest",
-    """SELECT review_id, order_id, review_score,
+    """SELECT review_id, order_id, CAST(review_score AS DOUBLE) AS review_score,
               review_comment_title, review_comment_message,
               CAST(review_creation_date AS VARCHAR) AS review_creation_date,
               CAST(review_answer_timestamp AS VARCHAR) AS review_answer_timestamp
        FROM olist_order_reviews""",
+    gaps=("review_score",),
 )
 def csv_ingest(given: Given) -> DataFrame:
     """All nine files, through CSV text and back; shown is the one with line breaks."""
@@ -169,9 +170,10 @@ def namespace_create(given: Given) -> DataFrame:
 
 @check(
     "seed_load",
-    """SELECT a.customer_id, a.first_name, a.email, b.order_id, b.status,
-              CAST(b.amount AS DOUBLE) AS amount
+    """SELECT a.customer_id, a.first_name, a.email, CAST(b.order_id AS DOUBLE) AS order_id,
+              b.status, CAST(b.amount AS DOUBLE) AS amount
        FROM stg_customers a LEFT JOIN stg_orders b ON a.customer_id = b.customer_id""",
+    gaps=("order_id",),
 )
 def seed_load(given: Given) -> DataFrame:
     frames = read_csv_tables(given.spark, given.csv_files(SEED_FILES), SEED_FILES)

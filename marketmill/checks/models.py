@@ -41,15 +41,14 @@ MODEL_SQL = {
     ),
     "stg_olist_order_reviews": columns_sql(
         "stg_olist_order_reviews",
-        "review_id order_id review_score review_comment_title review_comment_message",
-        "",
+        "review_id order_id review_comment_title review_comment_message",
+        "review_score",
         "review_creation_date review_answer_timestamp",
     ),
     "stg_olist_products": columns_sql(
         "stg_olist_products",
-        "product_id product_category_name product_name_length product_description_length "
-        "product_photos_qty",
-        "product_weight_g product_length_cm product_height_cm product_width_cm",
+        "product_id product_category_name product_name_length product_photos_qty",
+        "product_description_length product_weight_g product_length_cm product_height_cm product_width_cm",
     ),
     "stg_olist_sellers": "SELECT * FROM stg_olist_sellers",
     "stg_olist_product_category_translation": (
@@ -80,8 +79,10 @@ MODEL_SQL = {
     ),
 }
 
+GAPS = ("review_score", "product_description_length")
+
 for _model, _sql in MODEL_SQL.items():
-    check(_model, _sql)(lambda given, _model=_model: given.model(_model))
+    check(_model, _sql, GAPS)(lambda given, _model=_model: given.model(_model))
 
 
 @check(
@@ -124,8 +125,9 @@ def proj_coalesce_defaults(given: Given) -> DataFrame:
 
 @check(
     "join_left_summary",
-    """SELECT a.customer_id, b.total_orders
+    """SELECT a.customer_id, CAST(b.total_orders AS DOUBLE) AS total_orders
        FROM stg_customers a LEFT JOIN order_figures b ON a.customer_id = b.customer_id""",
+    gaps=("total_orders",),
 )
 def join_left_summary(given: Given) -> DataFrame:
     summary = marts.order_summary(given.staged("stg_orders"))
@@ -167,7 +169,8 @@ def join_inner_customers(given: Given) -> DataFrame:
 
 @check(
     "join_left_fanout",
-    columns_sql("reviewed_items", "seller_id order_id review_score", "price freight_value"),
+    columns_sql("reviewed_items", "seller_id order_id", "review_score price freight_value"),
+    gaps=GAPS,
 )
 def join_left_fanout(given: Given) -> DataFrame:
     return marts.item_reviews(
@@ -177,8 +180,9 @@ def join_left_fanout(given: Given) -> DataFrame:
 
 @check(
     "join_left_sellers",
-    """SELECT a.seller_id, a.seller_city, b.total_orders
+    """SELECT a.seller_id, a.seller_city, CAST(b.total_orders AS DOUBLE) AS total_orders
        FROM stg_olist_sellers a LEFT JOIN seller_figures b ON a.seller_id = b.seller_id""",
+    gaps=("total_orders",),
 )
 def join_left_sellers(given: Given) -> DataFrame:
     figures = marts.seller_summary(

@@ -116,3 +116,9 @@ def context(hits: DataFrame, by: str, rank: str = "rank") -> DataFrame:
     """
     lines = F.sort_array(F.collect_list(F.struct(F.col(rank), context_line().alias("line"))))
     return hits.groupBy(by).agg(F.array_join(lines["line"], "\n").alias("context"))
+
+
+def question_context(catalog: DataFrame, question: Sequence[float], k: int = TOP_K) -> str:
+    """The context of one question, as text: its `k` lines, best first."""
+    hits = retrieve(catalog, question, k)
+    return "\n".join(row["line"] for row in hits.select(context_line().alias("line")).collect())

@@ -4,17 +4,23 @@ from __future__ import annotations
 
 import math
 import os
+import threading
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
 import __spark_entry__ as entry
+from tests.plans import plan
 
 duckdb = pytest.importorskip("duckdb")
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
+# pairs of everything with everything, and Python called row by row
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython")
+PRINTING = threading.Lock()
+
 KINDS = {
     "bigint": "BIGINT",
     "int": "INTEGER",
@@ -35,11 +41,13 @@ def second_engine():
 
 @pytest.fixture(scope="module")
 def answers(spark, request):
-    """All chosen queries, four at a time: (types, rows) by name."""
+    """All chosen queries, four at a time: (types, rows, plan) by name."""
 
     def run(query):
         found = query(spark, SF_DIR)
-        return found.dtypes, found.collect()
+        with PRINTING:
+            text = plan(found)
+        return found.dtypes, found.collect(), text
 
     names = [
         item.callspec.params["name"]
@@ -72,7 +80,9 @@ def test_entry(spark):
 
 @pytest.mark.parametrize("name", sorted(entry.queries()))
 def test_query(answers, second_engine, name):
-    types, rows = answers[name].result()
+    types, rows, text = answers[name].result()
+    for operator in UNWANTED:
+        assert operator not in text
     sql = entry.oracle_sql().get(name)
     if sql is None:
         assert rows

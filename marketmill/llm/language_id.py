@@ -25,7 +25,7 @@ from marketmill.llm.ngrams import (
 )
 
 UNKNOWN = "und"
-PER_LANGUAGE = 800
+PER_LANGUAGE = 600
 EPOCHS = 3
 LEARNING_RATE = 0.5
 L1 = 0.02
@@ -36,7 +36,7 @@ GRAMS = NGrams(sizes=(1, 2, 3), bits=18, lower=True)
 @dataclass
 class LanguageModel:
     languages: list[str]
-    weights: np.ndarray  # places x languages, times the inverse document frequencies
+    weights: np.ndarray  # languages x places, times the inverse document frequencies
     bias: np.ndarray
     temperature: float
 
@@ -117,7 +117,7 @@ def fit_languages(
     weights, bias = fit_leader(used, GRAMS.width, len(languages))
     logits = np.array([v @ weights[p] + bias for _, p, v in kept]).reshape(-1, len(languages))
     temperature = best_temperature(logits, np.array([row[0] for row in kept], dtype=int))
-    return LanguageModel(languages, (weights * idf[:, None]).astype(np.float32), bias, temperature)
+    return LanguageModel(languages, np.ascontiguousarray((weights * idf[:, None]).T, np.float32), bias, temperature)
 
 
 def has_letter(text: str) -> Column:

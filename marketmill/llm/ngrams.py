@@ -56,7 +56,7 @@ class NGrams:
         for i in range(1, size):
             mixed = (mixed ^ (mixed >> np.uint32(15))) + codes[i : i + count] * np.uint32(FACTORS[i])
         mixed = (mixed + np.uint32(size)) * np.uint32(FACTORS[7])
-        return mixed >> np.uint32(32 - self.bits)
+        return (mixed >> np.uint32(32 - self.bits)).astype(np.intp)
 
     def counts(self, text: str, scratch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and counts of the n-grams; `scratch` is 2**bits zeros, and is left so."""
@@ -68,12 +68,12 @@ class NGrams:
         return places, found
 
     def score(self, text: str, weights: np.ndarray) -> np.ndarray:
-        """SCALE times the mean of `weights` (places x classes) over the n-grams."""
-        total, seen = np.zeros(weights.shape[1]), 0
+        """SCALE times the mean of `weights` (classes x places) over the n-grams."""
+        total, seen = np.zeros(len(weights)), 0
         for part in self.slices(text):
-            total += weights[part].sum(axis=0, dtype=np.float64)
+            total += [of_class.take(part).sum(dtype=np.float64) for of_class in weights]
             seen += len(part)
-        whole = weights[np.array(self.extras(text), dtype=np.int64)].sum(axis=0)
+        whole = weights[:, np.array(self.extras(text), dtype=np.intp)].sum(axis=1)
         return SCALE * total / max(seen, 1) + whole
 
 
@@ -151,14 +151,14 @@ def sample_features(sample: DataFrame, grams: NGrams) -> list[tuple[object, np.n
 def scored(text: Column, grams: NGrams, weights, finish) -> Column:
     """An array of doubles for each text: `finish` of its linear scores (texts x classes).
 
-    `weights` is a Spark broadcast of 2**bits rows, a column for each class.
+    `weights` is a Spark broadcast: a row for each class, a column for each place.
     """
 
     def each(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = weights.value
         for column in columns:
             rows = [grams.score(text, table) for text in column.to_pylist()]
-            found = finish(np.array(rows).reshape(len(rows), table.shape[1]))
+            found = finish(np.array(rows).reshape(len(rows), len(table)))
             yield pa.array(list(found), pa.list_(pa.float64()))
 
     return F.arrow_udf(each, "array<double>")(text)

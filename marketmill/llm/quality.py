@@ -67,7 +67,7 @@ GRAMS = TextGrams(sizes=(1, 2), bits=15, lower=False)
 
 @dataclass
 class QualityModel:
-    weights: np.ndarray  # places x 1, times the inverse document frequencies
+    weights: np.ndarray  # 1 x places, times the inverse document frequencies
     bias: float
     prior: float
 
@@ -170,7 +170,7 @@ def fit_quality(
     if not len(sides_of[0]) or not len(sides_of[1]):
         return None
     weights, bias = fit_risk(sides_of[1], sides_of[0], prior, GRAMS.width)
-    return QualityModel((weights * idf).astype(np.float32)[:, None], bias, prior)
+    return QualityModel((weights * idf).astype(np.float32)[None, :], bias, prior)
 
 
 def graded(docs: DataFrame, model: QualityModel | None, text: str = "text") -> DataFrame:

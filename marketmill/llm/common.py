@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import OrderedDict
 from collections.abc import Callable
 
@@ -45,8 +46,8 @@ def bytes_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a folder in a store that all executors reach."""
-    return pafs.FileSystem.from_uri(uri)
+    """File system and path of a file or folder in a store that all executors reach."""
+    return pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))
 
 
 class ShardCache:

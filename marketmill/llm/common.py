@@ -15,6 +15,7 @@ from marketmill.session import scratch_path
 
 SPACES = r"[\x20\x09-\x0D]+"
 LAST_ID = (1 << 63) - 1  # stands for a null id while ids are compared: after all others
+NO_ID = 1 << 62  # from here on, ids stand for rows without one: ids must be smaller
 
 
 def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
@@ -35,6 +36,22 @@ def whole_text(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
+def row_key(text: str) -> Column:
+    """Tells rows that share an id apart."""
+    return F.xxhash64(whole_text(text))
+
+
+def node_id(id_column: str, text: str) -> Column:
+    """The id as a whole number; a row without one gets a number of its text, from NO_ID on."""
+    own = row_key(text).bitwiseAND(F.lit(NO_ID - 1)) + F.lit(NO_ID)
+    return F.coalesce(F.col(f"`{id_column}`").cast("long"), own)
+
+
+def shown_id(node: str) -> Column:
+    """A node number as an id again."""
+    return F.when(F.col(node) < F.lit(NO_ID), F.col(node))
+
+
 def remainder(id_column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo `divisor`."""
     return F.crc32(F.col(f"`{id_column}`").cast("string").cast("binary")) % divisor

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.llm.common import LAST_ID, bytes_of, open_store, stored, whole_text, written
+from marketmill.llm.common import LAST_ID, bytes_of, open_store, row_key, stored, whole_text, written
 from marketmill.llm.words import sliding_minimum
 
 BITMAP_BITS = 27  # 16 MB, in each worker
@@ -269,11 +269,6 @@ def document_id(id_col: str) -> Column:
     return F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID))
 
 
-def row_key(text_col: str) -> Column:
-    """Tells rows that share an id apart."""
-    return F.xxhash64(whole_text(text_col))
-
-
 def with_ranges(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """`docs` with `_ranges`, null where nothing was found."""
     keyed = docs.withColumns({"_id": document_id(id_col), "_row": row_key(text_col)})

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.llm.common import LAST_ID, bytes_of, stored, whole_text
+from marketmill.llm.common import bytes_of, node_id, row_key, shown_id, stored, whole_text
 from marketmill.llm.components import components
 
 SEED = 42
@@ -30,6 +30,7 @@ TILE = 4096
 NODES_PER_CELL = 256  # aimed at
 COUNT_BASE = 128  # block counts are digits of this base; a sum of digits never reaches it
 SLICE = 16_384  # shingles whose bits are counted at a time
+TILE_RUNS = 500_000  # of words, in a tile of a family
 ROWS = 256  # rows of a tile that are compared at a time
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
@@ -186,6 +187,12 @@ def fingerprint_links(nodes: DataFrame, radius: int) -> DataFrame:
     return units.mapInArrow(compared, "a long, b long")
 
 
+def labelled(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """`nodes` with `component`, the smallest node that is linked to theirs."""
+    joined = nodes.join(components(links), "node", "left")
+    return joined.withColumn("component", F.coalesce("component", "node"))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -199,22 +206,174 @@ def near_duplicates(
     words joined by a space (all words if there are fewer); a bit is set if over half of
     the shingles' XXH64 have it. Fingerprints link at `radius` or fewer differing bits;
     `component` is the smallest id reachable. Null, empty and blank texts have fingerprint
-    zero, linked like any other. Ids are whole numbers; a null id counts as larger than all
-    others and is handed out as null again. Other columns are not looked at.
+    zero, linked like any other. Ids are whole numbers below 2**62; a null id counts as
+    larger than all others and is handed out as null again. Other columns are not looked at.
     """
-    ids = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID))
-    marks = fingerprints(whole_text(text_col), words)
-    found = stored(docs.select(ids.alias("doc_id"), marks.alias("fingerprint")), "fingerprints")
+    found = stored(
+        docs.select(
+            node_id(id_col, text_col).alias("doc_id"),
+            fingerprints(whole_text(text_col), words).alias("fingerprint"),
+        ),
+        "fingerprints",
+    )
+    nodes = found.groupBy("fingerprint").agg(F.min("doc_id").alias("node"))
+    nodes = stored(nodes, "fingerprint-nodes")
+    marked = labelled(nodes, fingerprint_links(nodes, radius)).drop("node")
+    return found.join(marked, "fingerprint").select(
+        shown_id("doc_id").alias("doc_id"), "fingerprint", shown_id("component").alias("component")
+    )
+
+
+def run_set(text: bytes, size: int) -> np.ndarray:
+    """The different runs of `size` words of a text, as sorted hashes."""
+    return np.unique(shingle_hashes(text, size).view("<i8").ravel())
+
+
+def marks(text: Column, words: int, run: int) -> Column:
+    """Fingerprint of a text, and a 128-bit hash of its set of runs."""
+
+    def each(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            prints, first, second = [], [], []
+            for found in bytes_of(column):
+                prints.append(fingerprint(shingle_hashes(found, words)))
+                digest = xxhash.xxh3_128_digest(run_set(found, run).tobytes())
+                first.append(int.from_bytes(digest[:8], "big", signed=True))
+                second.append(int.from_bytes(digest[8:], "big", signed=True))
+            arrays = [pa.array(x, pa.int64()) for x in (prints, first, second)]
+            yield pa.StructArray.from_arrays(arrays, names=["fingerprint", "s1", "s2"])
+
+    return F.arrow_udf(each, "struct<fingerprint: bigint, s1: bigint, s2: bigint>")(text)
+
+
+def run_sets(text: Column, run: int) -> Column:
+    def each(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            sets = [run_set(found, run) for found in bytes_of(column)]
+            yield pa.array(sets, pa.list_(pa.int64()))
+
+    return F.arrow_udf(each, "array<bigint>")(text)
+
+
+def similar(
+    sets: list[np.ndarray], others: list[np.ndarray], least: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs of sets whose shared part of both is `least` or more."""
+    sizes = np.array([len(x) for x in others])
+    values = np.concatenate(others)
+    owner = np.repeat(np.arange(len(others)), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for i, own in enumerate(sets):
+        low, high = np.searchsorted(values, own), np.searchsorted(values, own, "right")
+        counts = high - low
+        ends = np.cumsum(counts)
+        at = np.arange(counts.sum()) + np.repeat(low - (ends - counts), counts)
+        shared = np.bincount(owner[at], minlength=len(others))
+        # Two texts without words have no runs and are equal.
+        near = shared >= least * (len(own) + sizes - shared)
+        found = np.flatnonzero(near & ((shared > 0) | (len(own) + sizes == 0)))
+        a.append(np.full(len(found), i))
+        b.append(found)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def verified_links(sets: DataFrame, least: float) -> DataFrame:
+    """Links that connect all similar texts of a family; `sets` has family, node, runs.
+
+    A family is cut into tiles by the number of its runs; pairs of tiles are compared.
+    """
+    size = F.greatest(F.size("runs"), F.lit(1))
+    held = sets.groupBy("family").agg(F.ceil(F.sum(size) / TILE_RUNS).cast("int").alias("chunks"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    tiles = stored(
+        sets.join(held, "family")
+        .groupBy("family", chunk.alias("chunk"))
+        .agg(F.collect_list(F.struct("node", "runs")).alias("rows")),
+        "family-tiles",
+    )
+    names = tiles.select("family", F.col("chunk").alias("i"))
+    pairs = names.join(names.withColumnRenamed("i", "j"), "family").filter("i <= j")
+    of_a = tiles.select("family", F.col("chunk").alias("i"), F.col("rows").alias("x"))
+    of_b = tiles.select("family", F.col("chunk").alias("j"), F.col("rows").alias("y"))
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                nodes, lists = zip(*(
+                    (rows.field(0).to_numpy(), [r.values.to_numpy() for r in rows.field(1)])
+                    for rows in (x.values, y.values)
+                ), strict=True)
+                i, j = similar(*lists, least)
+                every = np.concatenate(nodes)
+                order = np.argsort(every, kind="stable")  # so the least node is the label
+                place = np.empty(len(order), dtype=np.int64)
+                place[order] = np.arange(len(order))
+                labels = merge(np.arange(len(order)), place[i], place[j + len(nodes[0])])
+                moved = np.flatnonzero(labels != np.arange(len(labels)))
+                a.append(every[order][moved])
+                b.append(every[order][labels[moved]])
+            columns = [pa.array(np.concatenate(a)), pa.array(np.concatenate(b))]
+            yield pa.RecordBatch.from_arrays(columns, schema=LINKS)
+
+    units = pairs.join(of_a, ["family", "i"]).join(of_b, ["family", "j"]).select("x", "y")
+    return units.mapInArrow(compared, "a long, b long")
+
+
+def similar_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = 3,
+    radius: int = 10,
+    run: int = 5,
+    least: float = 0.8,
+) -> DataFrame:
+    """doc_id, row, component: near-duplicates by SimHash, verified on runs of words.
+
+    Fingerprints within `radius` make families, as in `near_duplicates`. Inside a family,
+    texts link whose sets of runs of `run` words share `least` or more of both (a text of
+    fewer words is one run); `component` is the smallest id reachable by such links. Ids and
+    nulls as in `near_duplicates`, a null id as a number from 2**62 on. `row` tells rows
+    apart that share an id.
+    """
+    found = stored(
+        docs.select(
+            node_id(id_col, text_col).alias("doc_id"),
+            row_key(text_col).alias("row"),
+            marks(whole_text(text_col), words, run).alias("marks"),
+        ).select("doc_id", "row", "marks.*"),
+        "marks",
+    )
+    classes = stored(
+        found.groupBy("fingerprint", "s1", "s2").agg(
+            F.min(F.struct("doc_id", "row")).alias("first")
+        ).select("fingerprint", "s1", "s2", F.col("first.doc_id").alias("node"), "first.row"),
+        "classes",
+    )
     nodes = stored(
-        found.groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "fingerprint-nodes"
+        classes.groupBy("fingerprint").agg(F.min("node").alias("node")), "fingerprint-nodes"
+    )
+    families = labelled(nodes, fingerprint_links(nodes, radius))
+    families = families.select("fingerprint", F.col("component").alias("family"))
+    placed = stored(classes.join(families, "fingerprint"), "families")
+    several = placed.groupBy("family").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    asked = placed.join(several, "family").select("family", "node", "row")
+    texts = docs.select(
+        node_id(id_col, text_col).alias("node"),
+        row_key(text_col).alias("row"),
+        whole_text(text_col).alias("text"),
     )
-    labels = components(fingerprint_links(nodes, radius))
-    labelled = nodes.join(labels, "node", "left").select(
-        "fingerprint", F.coalesce("component", "node").alias("component")
+    sets = texts.join(asked, ["node", "row"]).select(
+        "family", "node", "row", run_sets(F.col("text"), run).alias("runs")
     )
-    joined = found.join(labelled, "fingerprint")
-    shown = {name: F.nullif(F.col(name), F.lit(LAST_ID)) for name in ("doc_id", "component")}
-    return joined.withColumns(shown).select("doc_id", "fingerprint", "component")
+    sets = stored(sets.dropDuplicates(["node", "row"]), "run-sets")
+    marked = labelled(classes.select("node").distinct(), verified_links(sets, least))
+    by_class = classes.join(marked, "node").select("fingerprint", "s1", "s2", "component")
+    joined = found.join(by_class, ["fingerprint", "s1", "s2"])
+    return joined.select("doc_id", "row", "component")
 
 
 def one_of_each(
@@ -222,13 +381,19 @@ def one_of_each(
     id_col: str = "doc_id",
     text_col: str = "text",
     words: int = 3,
-    radius: int = 2,
+    radius: int = 10,
+    run: int = 5,
+    least: float = 0.8,
 ) -> DataFrame:
-    """`docs` without the near-duplicates: of each component, the row with the smallest id.
+    """`docs` without its near-duplicates: of each component the smallest id stays.
 
-    Rows that repeat the smallest id are copies by its name: all of one text stay together.
+    See `similar_documents`. Rows that repeat the smallest id all stay; rows without an id
+    stay if nothing similar has one. Columns are unchanged.
     """
-    found = near_duplicates(docs, id_col, text_col, words, radius)
-    gone = found.filter("doc_id <> component OR doc_id IS NULL AND component IS NOT NULL")
-    gone = gone.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col("_gone")), "left_anti")
+    found = similar_documents(docs, id_col, text_col, words, radius, run, least)
+    gone = found.filter("doc_id <> component").select("doc_id", "row").distinct()
+    gone = gone.toDF("_node", "_row")
+    keyed = docs.withColumns({"_node": node_id(id_col, text_col), "_row": row_key(text_col)})
+    return keyed.join(gone, ["_node", "_row"], "left_anti").select(
+        *[f"`{name}`" for name in docs.columns]
+    )

@@ -96,7 +96,8 @@ def exact_groups(
         F.lit(True).alias("kept"),
         "text_sha256",
     )
-    same = hashed.filter("again").join(groups, "text_sha256", "left")
+    # Written first, so that the join has two plain exchanges and a hot text can be split.
+    same = hashed.filter("again").join(stored(groups, "exact-groups"), "text_sha256", "left")
     single = F.col("first").isNull()
     return alone.unionByName(
         same.select(

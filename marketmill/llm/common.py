@@ -26,8 +26,8 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> str:
     """Write `df` below the shared folder; its path."""
     path = scratch_path(df.sparkSession, name)
-    writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
-    writer.parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer if partition_by is None else writer.partitionBy(partition_by)).parquet(path)
     return path
 
 

@@ -32,6 +32,7 @@ from marketmill.llm.words import sliding_minimum
 
 BITMAP_BITS = 27  # 16 MB, in each worker
 SLICE_UNITS = 1 << 20  # windows of a text that are looked at at a time
+REMEMBERED = 500_000  # digests of segments, per task
 HOT_SEGMENTS = 20_000  # of one anchor: more are compared window by window
 LOW = np.uint64(0xFFFFFFFF)
 SEGMENTS = (
@@ -111,10 +112,14 @@ class Bitmap:
 
 
 def segments_of(texts: DataFrame, units: Units, folder: str) -> DataFrame:
-    """The segments of (`doc_id`, `row`, `text`) whose anchor is in the bitmap."""
+    """The segments of (`doc_id`, `row`, `text`) whose anchor is in the bitmap.
+
+    A task leaves out the body of a segment it has handed out before: one copy is enough.
+    """
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = Bitmap(folder)
+        handed: set[int] = set()  # bodies that this task has handed out already
         for batch in batches:
             rows: list[tuple] = []
             size = 0
@@ -127,9 +132,13 @@ def segments_of(texts: DataFrame, units: Units, folder: str) -> DataFrame:
                     ):
                         body = units.body(first, last + units.window)
                         digest = xxhash.xxh3_128_intdigest(body)
-                        rows.append((key, digest >> 64, digest & (2**64 - 1), body, place - first,
+                        if len(handed) >= REMEMBERED:
+                            handed.clear()
+                        carried = None if digest in handed else body
+                        handed.add(digest)
+                        rows.append((key, digest >> 64, digest & (2**64 - 1), carried, place - first,
                                      last - first + 1, doc_id, number, first))
-                        size += len(body)
+                        size += len(carried or b"")
                         if size > 1 << 24:
                             yield segment_batch(rows)
                             rows, size = [], 0
@@ -229,10 +238,11 @@ def removed_units(
     )
     keys = anchor_keys(texts.select("text"), units).groupBy("key").count().filter("count > 1")
     segments = stored(segments_of(texts, units, bitmap_of(keys.select("key"))), "segments")
-    different = segments.groupBy("key", "s1", "s2").agg(
+    different = segments.groupBy("s1", "s2").agg(
+        F.first("key").alias("key"),
         F.count(F.lit(1)).alias("copies"),
         F.min(F.struct("doc_id", "start")).alias("least"),
-        F.first("body").alias("body"),
+        F.first("body", ignorenulls=True).alias("body"),
         F.first("anchor").alias("anchor"),
         F.first("windows").alias("windows"),
     )
@@ -242,17 +252,19 @@ def removed_units(
     found = compare(mixed.filter(F.col("kinds") <= HOT_SEGMENTS).drop("kinds"))
     hot = mixed.filter(F.col("kinds") > HOT_SEGMENTS)
     found = found.unionByName(hot_ranges(hot, cut, earlier))
-    known = different.select("key", "s1", "s2", "copies", F.col("doc_id").alias("least_id"),
+    known = different.select("s1", "s2", "copies", F.col("doc_id").alias("least_id"),
                              F.col("start").alias("least_start"))
-    ruled = known.join(found, ["key", "s1", "s2"], "left").filter("copies > 1 OR ranges IS NOT NULL")
-    where = segments.select("key", "s1", "s2", "windows", "doc_id", "row", "start")
+    ruled = known.join(found.drop("key"), ["s1", "s2"], "left")
+    # Written first, so that the next join has two plain exchanges and a hot segment can be split.
+    ruled = stored(ruled.filter("copies > 1 OR ranges IS NOT NULL"), "ruled-segments")
+    where = segments.select("s1", "s2", "windows", "doc_id", "row", "start")
     whole = F.expr("array(struct(0L AS first, windows - 1 AS last))")
     if earlier:
         spared = F.expr("doc_id = least_id AND start = least_start")
         ranges = F.when(spared, F.col("ranges")).otherwise(whole)
     else:
         ranges = F.when(F.col("copies") > 1, whole).otherwise(F.col("ranges"))
-    joined = where.join(ruled, ["key", "s1", "s2"])
+    joined = where.join(ruled, ["s1", "s2"])
     each = joined.select("doc_id", "row", "start", F.explode(ranges).alias("range"))
     return each.groupBy("doc_id", "row").agg(
         F.collect_list(

@@ -41,10 +41,12 @@ def _place(*columns: str) -> Column:
 
 def marked(rows: DataFrame, bits: DataFrame, flag: str, *columns: str) -> DataFrame:
     """`rows` with `flag`: whether the bit of their key is set. `bits` has a fixed bound."""
-    placed = rows.withColumn("_place", _place(*columns)).withColumn("word", _word(F.col("_place")))
-    joined = placed.join(F.broadcast(bits), "word", "left")
-    is_set = F.expr("(shiftrightunsigned(mask, CAST(_place & 63 AS INT)) & 1L) = 1L")
-    return joined.withColumn(flag, F.coalesce(is_set, F.lit(False))).drop("_place", "word", "mask")
+    placed = rows.withColumn("_place", _place(*columns))
+    placed = placed.withColumn("_word", _word(F.col("_place")))
+    joined = placed.join(F.broadcast(bits.toDF("_word", "_mask")), "_word", "left")
+    is_set = F.expr("(shiftrightunsigned(_mask, CAST(_place & 63 AS INT)) & 1L) = 1L")
+    found = joined.withColumn(flag, F.coalesce(is_set, F.lit(False)))
+    return found.drop("_place", "_word", "_mask")
 
 
 def exact_groups(

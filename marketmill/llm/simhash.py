@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from marketmill.llm.common import bytes_of, node_id, row_key, shown_id, stored, whole_text
 from marketmill.llm.components import components
+from marketmill.llm.exact_dedup import bitmap, marked
 
 SEED = 42
 BITS = 64
@@ -68,12 +69,25 @@ def fingerprints(text: Column, size: int) -> Column:
     return F.arrow_udf(each, "long")(text)
 
 
-def blocks_for(nodes: int) -> int:
-    """Blocks of a fingerprint: doubled until a usual tile holds NODES_PER_CELL nodes."""
-    blocks = 1
-    while blocks < 16 and nodes / cells(blocks) > NODES_PER_CELL:
-        blocks *= 2
-    return blocks
+def blocks_for(nodes: int, radius: int) -> int:
+    """Blocks of a fingerprint: those that skip most pairs of tiles.
+
+    Finer blocks are tried until a usual tile would hold NODES_PER_CELL nodes or fewer.
+    """
+    best = tried = 1
+    while tried < 16 and nodes / cells(tried) > NODES_PER_CELL:
+        tried *= 2
+        if compared_share(tried, radius) < compared_share(best, radius):
+            best = tried
+    return best
+
+
+def compared_share(blocks: int, radius: int) -> float:
+    """About how much of all pairs is in tiles within the radius."""
+    near = sum(
+        2**k * math.comb(blocks, k) * math.comb(radius, k) for k in range(min(blocks, radius) + 1)
+    )
+    return min(1.0, near / cells(blocks))
 
 
 def cells(blocks: int) -> float:
@@ -149,7 +163,7 @@ def fingerprint_links(nodes: DataFrame, radius: int) -> DataFrame:
 
     `nodes` is a stored table of distinct `fingerprint`s and their `node` numbers.
     """
-    blocks = blocks_for(nodes.count())
+    blocks = blocks_for(nodes.count(), radius)
     placed = nodes.withColumn("cell", cell_of(F.col("fingerprint"), blocks))
     held = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("chunks"))
     chunk = F.pmod(F.xxhash64("fingerprint"), F.col("chunks")).cast("int")
@@ -218,8 +232,8 @@ def near_duplicates(
     )
     nodes = found.groupBy("fingerprint").agg(F.min("doc_id").alias("node"))
     nodes = stored(nodes, "fingerprint-nodes")
-    marked = labelled(nodes, fingerprint_links(nodes, radius)).drop("node")
-    return found.join(marked, "fingerprint").select(
+    by_print = labelled(nodes, fingerprint_links(nodes, radius)).drop("node")
+    return found.join(by_print, "fingerprint").select(
         shown_id("doc_id").alias("doc_id"), "fingerprint", shown_id("component").alias("component")
     )
 
@@ -327,7 +341,7 @@ def similar_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
     words: int = 3,
-    radius: int = 10,
+    radius: int = 12,
     run: int = 5,
     least: float = 0.8,
 ) -> DataFrame:
@@ -366,12 +380,14 @@ def similar_documents(
         row_key(text_col).alias("row"),
         whole_text(text_col).alias("text"),
     )
-    sets = texts.join(asked, ["node", "row"]).select(
+    # A bitmap of fixed size keeps most other texts out of the shuffle.
+    likely = marked(texts, bitmap(asked, "node", "row"), "_likely", "node", "row")
+    sets = likely.filter("_likely").join(asked, ["node", "row"]).select(
         "family", "node", "row", run_sets(F.col("text"), run).alias("runs")
     )
     sets = stored(sets.dropDuplicates(["node", "row"]), "run-sets")
-    marked = labelled(classes.select("node").distinct(), verified_links(sets, least))
-    by_class = classes.join(marked, "node").select("fingerprint", "s1", "s2", "component")
+    linked = labelled(classes.select("node").distinct(), verified_links(sets, least))
+    by_class = classes.join(linked, "node").select("fingerprint", "s1", "s2", "component")
     joined = found.join(by_class, ["fingerprint", "s1", "s2"])
     return joined.select("doc_id", "row", "component")
 
@@ -381,7 +397,7 @@ def one_of_each(
     id_col: str = "doc_id",
     text_col: str = "text",
     words: int = 3,
-    radius: int = 10,
+    radius: int = 12,
     run: int = 5,
     least: float = 0.8,
 ) -> DataFrame:
@@ -392,8 +408,10 @@ def one_of_each(
     """
     found = similar_documents(docs, id_col, text_col, words, radius, run, least)
     gone = found.filter("doc_id <> component").select("doc_id", "row").distinct()
-    gone = gone.toDF("_node", "_row")
+    gone = stored(gone.toDF("_node", "_row"), "near-copies")
     keyed = docs.withColumns({"_node": node_id(id_col, text_col), "_row": row_key(text_col)})
-    return keyed.join(gone, ["_node", "_row"], "left_anti").select(
-        *[f"`{name}`" for name in docs.columns]
-    )
+    # Rows whose bit is not set are none of those that go, and need no shuffle.
+    flagged = marked(keyed, bitmap(gone, "_node", "_row"), "_likely", "_node", "_row")
+    left = flagged.filter("_likely").join(gone, ["_node", "_row"], "left_anti")
+    columns = [f"`{name}`" for name in docs.columns]
+    return flagged.filter("NOT _likely").select(*columns).unionByName(left.select(*columns))

@@ -34,7 +34,7 @@ END = 1  # the id that closes a document
 PARTITION_PIECES = 100_000
 FAN_IN = 8
 NEARLY_FULL = 0.98
-CACHED_WORDS = 500_000
+CACHED_WORDS = 150_000
 # Fixed value: how the tokenizer cuts lower-case text, white space dropped.
 PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"

@@ -28,6 +28,9 @@ NULL_TOKENS = (
     "null",
 )
 
+# The same for seed files, where `NA` and `None` are ordinary texts.
+SEED_NULL_TOKENS = ("", "null")
+
 # The characters Python's str.strip() removes.
 WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -67,10 +70,10 @@ def stripped(col: Column | str) -> Column:
     return F.btrim(as_column(col), F.lit(WHITESPACE))
 
 
-def null_if_token(col: Column | str) -> Column:
+def null_if_token(col: Column | str, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
     """NULL where the cell holds one of the missing-value tokens."""
     col = as_column(col)
-    return F.when(~col.isin(*NULL_TOKENS), col)
+    return F.when(~col.isin(*tokens), col)
 
 
 def masked_email(col: Column | str, strict: bool = False) -> Column:

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketmill.functions.numbers import rounded_int
-from marketmill.functions.text import null_if_token
-from marketmill.schemas import MULTI_LINE_TABLES, RAW_COLUMNS
+from marketmill.functions.text import NULL_TOKENS, SEED_NULL_TOKENS, null_if_token
+from marketmill.schemas import MULTI_LINE_TABLES, RAW_COLUMNS, SEED_FILES
 from marketmill.sources.tables import Warehouse, in_parallel
 
 # Fixed value: folder below a bucket that holds the landing files.
@@ -61,8 +61,8 @@ def source_root(
     return local
 
 
-def typed_cell(name: str, kind: str) -> Column:
-    cell = null_if_token(name)
+def typed_cell(name: str, kind: str, tokens: tuple[str, ...] = NULL_TOKENS) -> Column:
+    cell = null_if_token(name, tokens)
     if kind == "string":
         return cell.alias(name)
     if kind == "int":
@@ -76,7 +76,8 @@ def read_csv_table(
     """One landing file (or a folder of parts) with its declared types.
 
     Cells are read as text, missing-value tokens become NULL and only then is the
-    type applied, so `NA` is a gap while `12x` is an error. Header names must match
+    type applied, so `NA` is a gap while `12x` is an error. Seed files know fewer
+    tokens: there a country `NA` is a text. Header names must match
     the declared ones, and a row with another number of cells fails the load.
     """
     columns = RAW_COLUMNS[table]
@@ -92,7 +93,8 @@ def read_csv_table(
         .option("escape", '"')
         .csv(path)
     )
-    return text.select(*(typed_cell(name, kind) for name, kind in columns))
+    tokens = SEED_NULL_TOKENS if table in SEED_FILES.values() else NULL_TOKENS
+    return text.select(*(typed_cell(name, kind, tokens) for name, kind in columns))
 
 
 def read_csv_tables(

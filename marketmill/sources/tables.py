@@ -28,6 +28,11 @@ def in_parallel(spark: SparkSession, jobs: Mapping[str, Callable[[], T]]) -> dic
         return {name: job.result() for name, job in running.items()}
 
 
+def shape(schema: StructType) -> list[tuple[str, str]]:
+    """Names and types, in order."""
+    return [(field.name, field.dataType.simpleString()) for field in schema]
+
+
 @dataclass(frozen=True)
 class Written:
     """Data that is complete on storage but not yet behind a table name."""
@@ -79,12 +84,19 @@ class Warehouse:
         return Written(namespace, table, location, df.schema, counted.get["rows"])
 
     def publish(self, written: Written) -> int:
-        """Point the table name at the new copy."""
+        """Point the table name at the new copy.
+
+        A copy with other columns or types replaces the entry as well, not only its
+        location; the rows of either copy stay where they are.
+        """
         name = self.identifier(written.namespace, written.table)
-        if self.exists(written.namespace, written.table):
+        known = self.exists(written.namespace, written.table)
+        if known and shape(self.spark.table(name).schema) == shape(written.schema):
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{written.location}'")
             self.spark.catalog.refreshTable(name)
         else:
+            if known:
+                self.spark.sql(f"DROP TABLE {name}")
             self.spark.catalog.createTable(
                 name, path=written.location, source="parquet", schema=written.schema
             )
@@ -95,10 +107,13 @@ class Warehouse:
         return self.publish(self.stage(df, namespace, table))
 
     def append(self, df: DataFrame, namespace: str, table: str) -> None:
-        """Add rows to a table; creates it on first use."""
+        """Add rows to a table of the same columns; creates it on first use."""
         if not self.exists(namespace, table):
             self.replace(df, namespace, table)
             return
+        there = shape(self.read(namespace, table).schema)
+        if shape(df.schema) != there:
+            raise ValueError(f"{namespace}.{table} has columns {there}, not {shape(df.schema)}")
         df.write.mode("append").insertInto(self.identifier(namespace, table))
 
 

@@ -33,13 +33,15 @@ def ordered_catalog_rows(manifests: DataFrame) -> DataFrame:
     """(source, model_name, column_name, description) of all documented names, plus
     the columns of the document and the node's position in it.
 
-    Models and columns without a description, or with a blank one, are left out. The
+    Models and columns without a description, or with a blank one, are left out; a model
+    without a name fails the extraction. The
     model's own entry and those of its columns come from one pass over the documents.
     """
     origin = [*(name for name in manifests.columns if name != "nodes"), "position"]
+    unnamed = F.raise_error(F.lit("a documented model has no name"))
     models = models_only(exploded_nodes(manifests)).select(
         *origin,
-        "name",
+        F.coalesce("name", unnamed).alias("name"),
         stripped(F.coalesce("description", F.lit(""))).alias("text"),
         F.coalesce(F.map_entries("columns"), F.array()).alias("entries"),
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from marketmill.operators.descriptions import ordered_catalog_rows
 from marketmill.schemas import RAW_COLUMNS, SEED_FILES
 from marketmill.sources.csv_files import read_csv_table
 
@@ -39,3 +40,11 @@ def test_seed_files_keep_na(spark, tmp_path, table):
     row = read_csv_table(spark, str(tmp_path / "seed.csv"), table).first()
     assert {row[name] for name in texts} == {"NA"}
     assert {row[name] for name in names if name not in texts} <= {None}
+
+
+def test_a_model_without_a_name_fails(spark):
+    node = "struct('model' AS resource_type, CAST(NULL AS string) AS name, 'text' AS description, "
+    node += "map('c', struct('d' AS description)) AS columns)"
+    manifests = spark.range(1).selectExpr(f"map('n', {node}) AS nodes")
+    with pytest.raises(Exception, match="has no name"):
+        ordered_catalog_rows(manifests).collect()

@@ -7,16 +7,20 @@ its own schedule.
 from __future__ import annotations
 
 import argparse
+import importlib
+import sys
 from datetime import datetime, timezone
 
-from marketmill.operators.embed import embed_question, hashed_words
+from marketmill.operators.embed import DIMENSIONS, embed_question, embedded, hashed_words
 from marketmill.operators.nearest import TOP_K
 from marketmill.plans.build import MART_NAMESPACES, build_all
-from marketmill.plans.catalog import ensure_catalog, index_catalog, question_context
+from marketmill.plans.catalog import ensure_catalog, index_catalog, question_hits
 from marketmill.plans.training import CUSTOMERS, MARKETPLACE, train_and_record
 from marketmill.session import build_session
 from marketmill.sources.tables import Warehouse
 
+HASHED = "words"  # the offline embedder
+
 EXPERIMENTS = {
     "mart_customer_orders": CUSTOMERS,
     "mart_olist_customer_orders": MARKETPLACE,
@@ -33,6 +37,12 @@ def parse(arguments: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--bucket", help="read the landing files here if one is not local")
     parser.add_argument("--manifests", help="catalog document, or a folder of them")
     parser.add_argument("--question")
+    parser.add_argument(
+        "--embedder",
+        default=HASHED,
+        help="`module:function` from a list of texts to their vectors; `none` skips indexing",
+    )
+    parser.add_argument("--dimensions", type=int, default=DIMENSIONS)
     parser.add_argument("--hits", type=int, default=TOP_K)
     parser.add_argument("--master", help="Spark master, where the submitter sets none")
     found = parser.parse_args(arguments)
@@ -44,6 +54,17 @@ def parse(arguments: list[str] | None) -> argparse.Namespace:
     return found
 
 
+def embedder(name: str):
+    """A function from rows with `description` to the same rows with `embedding`, or None."""
+    if name == HASHED:
+        return hashed_words
+    if name == "none":
+        return None
+    module, _, function = name.partition(":")
+    own = getattr(importlib.import_module(module), function)
+    return lambda rows, **names: embedded(rows, own, **names)
+
+
 def main(arguments: list[str] | None = None) -> dict:
     """Run the jobs in the order given; returns what each of them reports."""
     given = parse(arguments)
@@ -51,6 +72,7 @@ def main(arguments: list[str] | None = None) -> dict:
     warehouse = Warehouse(spark, given.warehouse, given.prefix)
     now = datetime.now(timezone.utc)
     reports = {}
+    embed = embedder(given.embedder)
     for job in given.jobs:
         if job == "build":
             reports[job] = build_all(warehouse, given.landing, given.seeds, given.bucket).rows
@@ -62,13 +84,29 @@ def main(arguments: list[str] | None = None) -> dict:
                 for mart, experiment in EXPERIMENTS.items()
             }
         elif job == "index":
-            reports[job] = index_catalog(warehouse, given.manifests, hashed_words, now)
+            reports[job] = index_catalog(
+                warehouse, given.manifests, embed, now, size=given.dimensions
+            )
         else:
-            vector = embed_question(spark, given.question, hashed_words)
-            reports[job] = question_context(ensure_catalog(warehouse), vector, given.hits)
+            reports[job] = ask(warehouse, given.question, embed or hashed_words, given.hits)
         print(f"{job}: {reports[job]}")
     return reports
 
 
+def ask(warehouse: Warehouse, question: str, embed, hits: int) -> str:
+    """The context of a question; its matches are printed with their similarity.
+
+    Without any match the program ends with status 1.
+    """
+    vector = embed_question(warehouse.spark, question, embed)
+    found = question_hits(ensure_catalog(warehouse), vector, hits)
+    if not found:
+        print("nothing found: index the catalog first", file=sys.stderr)
+        raise SystemExit(1)
+    for line, similarity in found:
+        print("[none]" if similarity is None else f"[{similarity:.3f}]", line)
+    return "\n".join(line for line, _ in found)
+
+
 if __name__ == "__main__":
     main()

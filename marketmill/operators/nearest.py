@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketmill.functions.vectors import similarity_to, vector_batch
+from marketmill.session import scratch_path
 
 # Hits per question and lists of the approximate index.
 TOP_K = 5
 LISTS = 10
 
-QUESTIONS_PER_PASS = 256
+QUESTIONS_PER_WAVE = 4096  # about so many are answered by one pass over the corpus
+QUESTIONS_PER_PRODUCT = 256
 
 
 def nearest(
@@ -54,35 +56,48 @@ def nearest_for_each(
 ) -> DataFrame:
     """(question, rank, similarity, id) of the `k` best rows for every question.
 
-    Questions are taken up in groups of 256 vectors, each answered by one pass over
-    the corpus: a task scores its Arrow batches against the group and keeps k rows
-    per question, so 256 * k rows per task are shuffled instead of all pairs.
+    Questions are dealt into waves of about 4,096 and stored by wave. A wave is one pass
+    over the corpus, whose tasks keep k rows per question; its hits are written before the
+    next wave is fetched, so the driver never holds more than one wave and no plan grows
+    with the questions. A question whose vector is NULL or has no length gets the first
+    `k` ids without similarity, as in `nearest`; without questions there are no rows.
     """
-    asked = questions.select(question_column, vector).orderBy(question_column)
-    name_type = asked.limit(0).toArrow().schema.field(0).type
+    spark = corpus.sparkSession
     kinds = {field.name: field.dataType.simpleString() for field in corpus.schema}
     question_kind = questions.schema[question_column].dataType.simpleString()
     schema = f"question {question_kind}, id {kinds[id_column]}, similarity double"
-    scanned = corpus.select(F.col(id_column).alias("id"), F.col(vector).alias("vector"))
+    asked = questions.select(
+        F.col(question_column).alias("question"), F.col(vector).alias("vector")
+    )
+    folder = scratch_path(spark, "questions")
+    asked.withColumn("place", F.monotonically_increasing_id()).write.parquet(f"{folder}/asked")
+    held = spark.read.parquet(f"{folder}/asked")
+    rows, width = held.agg(F.count(F.lit(1)), F.max(F.array_size("vector"))).first()
+    waves = math.ceil(rows / QUESTIONS_PER_WAVE)
+    if waves == 0:
+        return spark.createDataFrame(
+            [],
+            f"`{question_column}` {question_kind}, rank int, similarity double, "
+            f"`{id_column}` {kinds[id_column]}",
+        )
+    dealt = held.withColumn("wave", F.pmod(F.xxhash64("place"), F.lit(waves)).cast("int"))
+    dealt.repartition(waves, "wave").write.partitionBy("wave").parquet(f"{folder}/waves")
 
-    parts: list[DataFrame] = []
-    group: list = []
-    for row in asked.toLocalIterator():
-        group.append((row[0], row[1]))
-        if len(group) == QUESTIONS_PER_PASS:
-            parts.append(scanned.mapInArrow(best_of_task(group, name_type, k), schema))
-            group = []
-    if group or not parts:
-        parts.append(scanned.mapInArrow(best_of_task(group, name_type, k), schema))
+    scanned = corpus.select(F.col(id_column).alias("id"), F.col(vector).alias("vector"))
+    stored = spark.read.parquet(f"{folder}/waves")
+    for wave in range(waves):
+        group = stored.where(F.col("wave") == wave).select("question", "vector").toArrow()
+        if group.num_rows:
+            hits = scanned.mapInArrow(best_of_task(group, width, k), schema)
+            hits.write.mode("append").parquet(f"{folder}/hits")
 
     best = Window.partitionBy("question").orderBy(
         F.col("similarity").desc_nulls_last(), F.col("id")
     )
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
     return (
-        merged.withColumn("rank", F.row_number().over(best))
+        spark.read.schema(schema)
+        .parquet(f"{folder}/hits")
+        .withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select(
             F.col("question").alias(question_column),
@@ -93,44 +108,60 @@ def nearest_for_each(
     )
 
 
-def best_of_task(
-    questions: Sequence[tuple[object, Sequence[float]]], name_type: pa.DataType, k: int
-):
+def best_of_task(questions: pa.Table, width: int | None, k: int):
     """A `mapInArrow` function: the `k` best rows of its task for each question.
 
-    One matrix product scores a batch against all questions. Its last digits depend
+    One matrix product scores a batch against 256 questions. Its last digits depend
     on where a row lies in the batch, so the rows that could be among the best are
-    scored again one by one; equal vectors then tie and go by id.
+    scored again one by one; equal vectors then tie and go by id. `width` is the size
+    of the vectors, None where all questions are NULL.
     """
-    names = [name for name, _ in questions]
-    targets = np.asarray([values for _, values in questions], dtype=np.float64)
+    name_type = questions.schema.field(0).type
+    names = questions.column(0).to_pylist()
+    targets = np.zeros((len(names), width or 0))
+    if width:
+        given, vectors = vector_batch(questions.column(1).combine_chunks(), width)
+        targets[given] = vectors
     lengths = np.sqrt(np.einsum("ij,ij->i", targets, targets))
+    unlike = np.flatnonzero(lengths == 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list[pa.Table | None] = [None] * len(names)
+        first: pa.Table | None = None  # the answer to all questions without a direction
+
+        def keep(seen: pa.Table | None, ids: pa.Array, scores: np.ndarray) -> pa.Table:
+            found = pa.table({"id": ids, "similarity": pa.array(scores, from_pandas=True)})
+            found = found if seen is None else pa.concat_tables([seen, found])
+            order = [("similarity", "descending"), ("id", "ascending")]
+            return found.sort_by(order).slice(0, k)
+
         for batch in batches:
             ids = batch.column("id")
+            if len(unlike):
+                first = keep(first, ids, np.full(len(ids), np.nan))
+            if len(unlike) == len(names):
+                continue
             present, rows = vector_batch(batch.column("vector"), targets.shape[1])
             norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
             present, rows, norms = present[norms > 0], rows[norms > 0], norms[norms > 0]
-            products = rows @ targets.T / norms[:, None]
-            for place, target in enumerate(targets):
-                scores = np.full(len(ids), np.nan)
-                chosen = could_be_best(products[:, place], lengths[place], k)
-                scores[present[chosen]] = (
-                    np.einsum("ij,j->i", rows[chosen], target)
-                    / (norms[chosen] * lengths[place])
-                )
-                wanted = ~np.isnan(scores)
-                if wanted.sum() < k:  # too few usable vectors: the others follow them
-                    wanted[:] = True
-                found = pa.table({"id": ids, "similarity": pa.array(scores, from_pandas=True)})
-                found = found.filter(pa.array(wanted))
-                seen = best[place]
-                found = found if seen is None else pa.concat_tables([seen, found])
-                best[place] = found.sort_by(
-                    [("similarity", "descending"), ("id", "ascending")]
-                ).slice(0, k)
+            for start in range(0, len(names), QUESTIONS_PER_PRODUCT):
+                part = targets[start : start + QUESTIONS_PER_PRODUCT]
+                products = rows @ part.T / norms[:, None]
+                for place, target in enumerate(part, start):
+                    if lengths[place] == 0:
+                        continue
+                    scores = np.full(len(ids), np.nan)
+                    chosen = could_be_best(products[:, place - start], lengths[place], k)
+                    scores[present[chosen]] = (
+                        np.einsum("ij,j->i", rows[chosen], target)
+                        / (norms[chosen] * lengths[place])
+                    )
+                    wanted = ~np.isnan(scores)
+                    if wanted.sum() < k:  # too few usable vectors: the others follow them
+                        wanted[:] = True
+                    best[place] = keep(best[place], ids.filter(pa.array(wanted)), scores[wanted])
+        for place in unlike:
+            best[place] = first
         for place, found in enumerate(best):
             if found is not None:
                 question = pa.array([names[place]] * found.num_rows, name_type)

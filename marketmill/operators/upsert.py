@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from marketmill.operators.hashing import number_by_hash
 from marketmill.operators.latest import latest_per_key
+from marketmill.session import scratch_path
 
 
 def upsert(
@@ -21,23 +22,35 @@ def upsert(
 ) -> DataFrame:
     """`target` after `batch`, as a new DataFrame with the columns of `target`.
 
-    `keys` names the key expressions over columns both sides share; they must not be
-    NULL (coalesce where NULL is a key value of its own). Rows of the target keep
-    their id and their own key columns, and take `updated` from the batch; other
-    batch rows are added under new, higher ids. Among batch rows of one key the
+    `keys` names the key expressions over columns both sides share. A batch row with a
+    NULL key fails the run (coalesce where NULL is a key value of its own). Rows of the
+    target keep their id and their own key columns, and take `updated` from the batch;
+    other batch rows are added under new, higher ids. Among batch rows of one key the
     first in `newest_first` order wins.
 
-    The updates are one left join, which Spark runs without moving the target when
-    the batch is small. The additions look at the target's key columns only.
+    The winners of the batch are written to the shared folder at once, each with a mark
+    that tells whether the target knows its key: the batch is read one time, and of the
+    target that step reads the key columns. The updates are one left join, which Spark
+    runs without moving the target when the marked rows are small.
     """
     key_names = [f"_key_{name}" for name in keys]
     with_keys = dict(zip(key_names, keys.values(), strict=True))
     target_keyed = target.withColumns(with_keys)
-    newest = latest_per_key(batch.withColumns(with_keys), key_names, newest_first)
-
-    changes = newest.select(
-        *key_names, F.struct(*updated).alias("_new")
+    missing = F.raise_error(F.lit(f"the batch has a NULL among its keys {', '.join(keys)}"))
+    batch_keys = {name: F.coalesce(key, missing) for name, key in with_keys.items()}
+    winners = latest_per_key(batch.withColumns(batch_keys), key_names, newest_first)
+    taken = [name for name in target.columns if name in batch.columns and name != id_column]
+    known = target_keyed.select(*key_names, F.lit(True).alias("_known"))
+    path = scratch_path(batch.sparkSession, "upsert-batch")
+    (
+        winners.select(*key_names, *taken)
+        .join(known, key_names, "left")
+        .withColumn("_known", F.coalesce("_known", F.lit(False)))
+        .write.parquet(path)
     )
+    newest = batch.sparkSession.read.parquet(path)
+
+    changes = newest.where("_known").select(*key_names, F.struct(*updated).alias("_new"))
     kept = target_keyed.join(changes, key_names, "left").select(
         *(
             F.when(F.col("_new").isNotNull(), F.col("_new")[name])
@@ -50,12 +63,7 @@ def upsert(
     )
 
     highest = target.select(F.coalesce(F.max(id_column), F.lit(0)).alias("highest")).scalar()
-    added = number_by_hash(
-        newest.join(target_keyed.select(*key_names), key_names, "left_anti"),
-        key_names,
-        id_column,
-        start=highest,
-    )
+    added = number_by_hash(newest.where("NOT _known"), key_names, id_column, start=highest)
     return kept.unionByName(added.select(*target.columns))
 
 

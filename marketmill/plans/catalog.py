@@ -53,13 +53,31 @@ def upserted(
 
 
 def ensure_catalog(warehouse: Warehouse) -> DataFrame:
-    """The catalog table, created if need be, one row per key."""
+    """The catalog table as it is stored, created if need be."""
     warehouse.create_namespace(CATALOG_NAMESPACE)
     if not warehouse.exists(CATALOG_NAMESPACE, CATALOG_TABLE):
         empty = warehouse.spark.createDataFrame([], CATALOG_SCHEMA)
         warehouse.replace(empty, CATALOG_NAMESPACE, CATALOG_TABLE)
-        return warehouse.read(CATALOG_NAMESPACE, CATALOG_TABLE)
-    return deduplicated(warehouse.read(CATALOG_NAMESPACE, CATALOG_TABLE))
+    return warehouse.read(CATALOG_NAMESPACE, CATALOG_TABLE)
+
+
+def repeated_keys(catalog: DataFrame) -> DataFrame:
+    """The keys of more than one row; only key columns are read and counted."""
+    rows = catalog.select(*(key.alias(name) for name, key in catalog_keys().items()))
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+def unique_catalog(warehouse: Warehouse) -> DataFrame:
+    """The catalog table with one row per key.
+
+    Updates keep keys unique, so only a table that was filled in another way is ever
+    written anew, once. Readers may then take it as it is.
+    """
+    catalog = ensure_catalog(warehouse)
+    if repeated_keys(catalog).isEmpty():
+        return catalog
+    warehouse.replace(deduplicated(catalog), CATALOG_NAMESPACE, CATALOG_TABLE)
+    return warehouse.read(CATALOG_NAMESPACE, CATALOG_TABLE)
 
 
 def index_catalog(
@@ -82,7 +100,7 @@ def index_catalog(
     rows = ordered_catalog_rows(read_manifests(spark, manifests, multi_line))
     if embed is None:
         return {"stored": 0, "skipped": rows.count()}
-    catalog = ensure_catalog(warehouse)
+    catalog = unique_catalog(warehouse)
     path = scratch_path(spark, "embedded")
     now = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
     embed(rows).withColumns(
@@ -118,7 +136,9 @@ def context(hits: DataFrame, by: str, rank: str = "rank") -> DataFrame:
     return hits.groupBy(by).agg(F.array_join(lines["line"], "\n").alias("context"))
 
 
-def question_context(catalog: DataFrame, question: Sequence[float], k: int = TOP_K) -> str:
-    """The context of one question, as text: its `k` lines, best first."""
-    hits = retrieve(catalog, question, k)
-    return "\n".join(row["line"] for row in hits.select(context_line().alias("line")).collect())
+def question_hits(
+    catalog: DataFrame, question: Sequence[float], k: int = TOP_K
+) -> list[tuple[str, float | None]]:
+    """(line, similarity) of one question's `k` hits, best first; none in an empty catalog."""
+    hits = retrieve(catalog, question, k).select(context_line().alias("line"), "similarity")
+    return [tuple(row) for row in hits.collect()]

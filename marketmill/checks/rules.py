@@ -18,11 +18,14 @@ from marketmill.functions.vectors import (
 )
 from marketmill.operators import quality
 from marketmill.operators.descriptions import exploded_columns, exploded_nodes, models_only
-from marketmill.operators.governance import ANALYST, ENGINEER, Access, role_view, with_row_policy
+from marketmill.operators.governance import ANALYST, ENGINEER, with_row_policy
 from marketmill.operators.latest import latest_per_key
 from marketmill.operators.upsert import without
+from marketmill.plans.build import MART_NAMESPACES
 from marketmill.plans.marts import customer_orders_masked
 from marketmill.plans.quality_suite import suite, tests_of
+from marketmill.plans.roles import all_tables, role_view
+from marketmill.sources.tables import Warehouse
 
 # filters
 
@@ -448,10 +451,19 @@ VIEWS = {
     "role_view_analyst_sellers": (ANALYST, "olist_marts", "mart_olist_seller_performance", ""),
 }
 
+
+def governed(given: Given, *marts: str) -> Warehouse:
+    """A warehouse that holds these marts."""
+    warehouse = given.warehouse("governed")
+    for mart in marts:
+        warehouse.replace(given.mart(mart), MART_NAMESPACES[mart], mart)
+    return warehouse
+
+
 for _name, (_role, _layer, _table, _where) in VIEWS.items():
     check(_name, MODEL_SQL[_table] + _where)(
         lambda given, _role=_role, _layer=_layer, _table=_table: role_view(
-            given.model(_table), _role, _layer, _table
+            governed(given, _table.removesuffix("_masked")), _role, _layer, _table
         )
     )
 
@@ -462,22 +474,47 @@ def role_view_analyst_policy(given: Given) -> DataFrame:
     return with_row_policy(given.mart("mart_customer_orders"), ANALYST, "mart_customer_orders")
 
 
-DENIED = (
-    ("marts", "mart_customer_orders"),
-    ("staging", "stg_customers"),
-    ("raw", "raw_customers"),
+# All that the analyst may read.
+GRANTED = (
+    ("marts", "mart_customer_orders_masked", ""),
+    ("olist_marts", "mart_olist_customer_orders", " WHERE delivered_orders > 0"),
+    ("olist_marts", "mart_olist_seller_performance", ""),
 )
+REFUSED = sorted(set(all_tables()) - {(layer, table) for layer, table, _ in GRANTED})
 
 
 @check(
     "role_view_denied",
-    "SELECT customer_id, 3 AS denied, 0 AS granted FROM stg_customers",
+    " UNION ALL ".join(
+        [
+            f"SELECT '{layer}' AS layer, '{table}' AS table_name, false AS refused, "
+            f"count(*) AS n_rows FROM ({MODEL_SQL[table]}{where}) AS seen"
+            for layer, table, where in GRANTED
+        ]
+        + [f"SELECT '{layer}', '{table}', true, 0" for layer, table in REFUSED]
+    ),
 )
 def role_view_denied(given: Given) -> DataFrame:
-    """Per customer: how many of the tables with their address refuse the analyst."""
-    outcomes = [Access(ANALYST, layer, table).granted for layer, table in DENIED]
-    return given.staged("stg_customers").select(
-        "customer_id",
-        F.lit(outcomes.count(False)).alias("denied"),
-        F.lit(outcomes.count(True)).alias("granted"),
+    """Every table of the warehouse asked for as the analyst: refused, or its rows."""
+    warehouse = governed(given, *MART_NAMESPACES)
+    refused, seen = [], []
+    for layer, table in all_tables():
+        try:
+            view = role_view(warehouse, ANALYST, layer, table)
+        except PermissionError:
+            refused.append((layer, table))
+            continue
+        seen.append(
+            view.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(layer).alias("layer"),
+                F.lit(table).alias("table_name"),
+                F.lit(False).alias("refused"),
+                "n_rows",
+            )
+        )
+    found = given.spark.createDataFrame(refused, "layer string, table_name string").select(
+        "*", F.lit(True).alias("refused"), F.lit(0).cast("bigint").alias("n_rows")
     )
+    for counted in seen:
+        found = found.unionByName(counted)
+    return found

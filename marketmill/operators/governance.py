@@ -1,4 +1,4 @@
-"""What each role may see of a table, as views."""
+"""Grants and row rules of the roles."""
 
 from __future__ import annotations
 
@@ -44,14 +44,3 @@ def with_row_policy(df: DataFrame, role: str, table: str) -> DataFrame:
     if rules is None:
         return df
     return df.where(F.expr(rules.get(role, "false")))
-
-
-def role_view(df: DataFrame, role: str, layer: str, table: str) -> DataFrame:
-    """`table` as `role` sees it; PermissionError where nothing was granted.
-
-    The masked view belongs to the owner of the mart and carries no row rule: it
-    shows every customer, but no full address.
-    """
-    if not Access(role, layer, table).granted:
-        raise PermissionError(f"{role} may not read {layer}.{table}")
-    return with_row_policy(df, role, table)

@@ -7,10 +7,11 @@ from decimal import Decimal
 
 import pytest
 
-from marketmill.operators.governance import ANALYST, ENGINEER, role_view, with_row_policy
+from marketmill.operators.governance import ANALYST, ENGINEER, with_row_policy
 from marketmill.operators.quality import QualityError, assert_all_pass
 from marketmill.plans.build import build_all
 from marketmill.plans.quality_suite import suite
+from marketmill.plans.roles import all_tables, register_role_views, role_view
 from marketmill.sources.tables import Warehouse
 from tests import rows
 from tests.conftest import write_files
@@ -114,31 +115,38 @@ def test_one_location_per_prefix(built):
     assert places["01001"] == (-23.5505, -46.6335, "sao paulo", "SP")
 
 
-def test_role_views(built):
+def test_role_views(built, place):
+    warehouse = place[0]
     mart = built.models["mart_customer_orders"]
-    market = built.models["mart_olist_customer_orders"]
-    masked = built.models["mart_customer_orders_masked"]
 
-    assert role_view(mart, ENGINEER, "marts", "mart_customer_orders").count() == 10
+    assert role_view(warehouse, ENGINEER, "marts", "mart_customer_orders").count() == 10
     with pytest.raises(PermissionError):
-        role_view(mart, ANALYST, "marts", "mart_customer_orders")
-    seen = role_view(masked, ANALYST, "marts", "mart_customer_orders_masked")
+        role_view(warehouse, ANALYST, "marts", "mart_customer_orders")
+    seen = role_view(warehouse, ANALYST, "marts", "mart_customer_orders_masked")
     emails = {row["customer_id"]: row["email"] for row in seen.collect()}
     assert len(emails) == 10
     assert emails[1] == "a****@example.com"
 
     allowed = with_row_policy(mart, ANALYST, "mart_customer_orders")
     assert sorted(row["customer_id"] for row in allowed.collect()) == [1, 2, 3, 4, 5, 7, 9]
-    assert role_view(market, ANALYST, "olist_marts", "mart_olist_customer_orders").count() == 2
+    assert role_view(warehouse, ANALYST, "olist_marts", "mart_olist_customer_orders").count() == 2
     assert with_row_policy(mart, "visitor", "mart_customer_orders").count() == 0
-    sellers = built.models["mart_olist_seller_performance"]
-    assert role_view(sellers, ANALYST, "olist_marts", "mart_olist_seller_performance").count() == 2
+    assert role_view(warehouse, ANALYST, "olist_marts", "mart_olist_seller_performance").count() == 2
     for layer, table in (("raw", "raw_customers"), ("staging", "stg_customers")):
         with pytest.raises(PermissionError):
-            role_view(mart, ANALYST, layer, table)
-        role_view(mart, ENGINEER, layer, table)
+            role_view(warehouse, ANALYST, layer, table)
+        role_view(warehouse, ENGINEER, layer, table)
     with pytest.raises(PermissionError):
-        role_view(masked, "visitor", "marts", "mart_customer_orders_masked")
+        role_view(warehouse, "visitor", "marts", "mart_customer_orders_masked")
+    with pytest.raises(AttributeError):  # a frame of one's own cannot be handed in
+        role_view(mart, ANALYST, "marts", "mart_customer_orders_masked")
+    assert register_role_views(warehouse, ANALYST) == [
+        "built_analyst_olist_marts_mart_olist_customer_orders",
+        "built_analyst_olist_marts_mart_olist_seller_performance",
+        "built_analyst_marts_mart_customer_orders_masked",
+    ]
+    assert len(register_role_views(warehouse, ENGINEER)) == len(all_tables()) == 26
+    assert warehouse.spark.table("built_engineer_staging_stg_customers").count() == 10
 
 
 def test_failing_data_stops_the_build(warehouse, tmp_path):

@@ -308,14 +308,14 @@ def verified_links(sets: DataFrame, least: float) -> DataFrame:
         "family-tiles",
     )
     names = tiles.select("family", F.col("chunk").alias("i"))
-    pairs = names.join(names.withColumnRenamed("i", "j"), "family").filter("i <= j")
+    pairs = names.join(names.withColumnRenamed("i", "j"), "family").filter("i < j")
     of_a = tiles.select("family", F.col("chunk").alias("i"), F.col("rows").alias("x"))
     of_b = tiles.select("family", F.col("chunk").alias("j"), F.col("rows").alias("y"))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+            for x, y in zip(batch.column(0), batch.column(batch.num_columns - 1), strict=True):
                 nodes, lists = zip(*(
                     (rows.field(0).to_numpy(), [r.values.to_numpy() for r in rows.field(1)])
                     for rows in (x.values, y.values)
@@ -333,7 +333,9 @@ def verified_links(sets: DataFrame, least: float) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, schema=LINKS)
 
     units = pairs.join(of_a, ["family", "i"]).join(of_b, ["family", "j"]).select("x", "y")
-    return units.mapInArrow(compared, "a long, b long")
+    # Most families are one tile, which is compared with itself where it is read.
+    within = tiles.select("rows").mapInArrow(compared, "a long, b long")
+    return within.unionByName(units.mapInArrow(compared, "a long, b long"))
 
 
 def similar_documents(

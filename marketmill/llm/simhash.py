@@ -121,6 +121,12 @@ def offsets(blocks: int, radius: int) -> list[int]:
     return sorted(step for step in found if step >= 0)
 
 
+def band_of(size: Column, least: float) -> Column:
+    """Sizes of which the smaller is `least` of the larger or more: same or adjacent bands."""
+    width = max(1.001 * math.log(1 / least), 1e-9)  # a little wide, against rounding
+    return F.floor(F.log(F.greatest(size, F.lit(1))) / width)
+
+
 def merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Gives linked places one label, the smallest; `labels` point at places."""
     while True:
@@ -135,14 +141,26 @@ def merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def forest(
-    values: np.ndarray, nodes: np.ndarray, others: np.ndarray, other_nodes: np.ndarray, radius: int
+    values: np.ndarray,
+    nodes: np.ndarray,
+    others: np.ndarray,
+    other_nodes: np.ndarray,
+    radius: int,
+    sizes: np.ndarray | None = None,
+    other_sizes: np.ndarray | None = None,
+    least: float = 0.0,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect whatever is linked between two tiles (or within one)."""
+    """Links that connect whatever is linked between two tiles (or within one).
+
+    With sizes, the smaller of two linked ones is `least` of the larger or more.
+    """
     counts, other_counts = np.bitwise_count(values), np.bitwise_count(others)
     order, other_order = np.argsort(counts, kind="stable"), np.argsort(other_counts, kind="stable")
     values, nodes, counts = values[order], nodes[order], counts[order].astype(np.int64)
     others, other_nodes = others[other_order], other_nodes[other_order]
     other_counts = other_counts[other_order].astype(np.int64)
+    if sizes is not None:
+        sizes, other_sizes = sizes[order], other_sizes[other_order]
     labels = np.arange(len(values) + len(others))
     for start in range(0, len(values), ROWS):
         part = values[start : start + ROWS]
@@ -150,6 +168,10 @@ def forest(
         high = np.searchsorted(other_counts, counts[start + len(part) - 1] + radius, "right")
         near = np.bitwise_count(part[:, None] ^ others[None, low:high]) <= radius
         i, j = np.nonzero(near)
+        if sizes is not None:
+            one, two = sizes[i + start], other_sizes[j + low]
+            fits = np.minimum(one, two) >= least * np.maximum(one, two)
+            i, j = i[fits], j[fits]
         if len(i):
             labels = merge(labels, i + start, j + low + len(values))
     every = np.concatenate([nodes, other_nodes])
@@ -158,29 +180,59 @@ def forest(
     return a[a != b], b[a != b]
 
 
-def fingerprint_links(nodes: DataFrame, radius: int) -> DataFrame:
+def tile_steps(blocks: int, radius: int, banded: bool) -> Column:
+    """Band and cell differences of tiles that may hold links, each pair of tiles once."""
+    steps = offsets(blocks, radius)
+    ahead = [(0, step) for step in steps]
+    if banded:
+        ahead += [(1, step) for step in {*steps, *(-step for step in steps)}]
+    return F.array(
+        *[
+            F.struct(F.lit(band).cast("long").alias("band"), F.lit(step).cast("long").alias("cell"))
+            for band, step in sorted(ahead)
+        ]
+    )
+
+
+def fingerprint_links(nodes: DataFrame, radius: int, least: float | None = None) -> DataFrame:
     """Links (`a`, `b`) that connect all nodes whose fingerprints differ in `radius` bits.
 
-    `nodes` is a stored table of distinct `fingerprint`s and their `node` numbers.
+    `nodes` is a stored table of distinct `fingerprint`s and their `node` numbers. With
+    `least` it has a `size` too, distinct with the fingerprint, and of two linked sizes the
+    smaller is `least` of the larger or more: tiles then hold sizes of one band, and pairs
+    of tiles whose bands are apart are skipped as well.
     """
+    banded = least is not None
     blocks = blocks_for(nodes.count(), radius)
-    placed = nodes.withColumn("cell", cell_of(F.col("fingerprint"), blocks))
-    held = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("chunks"))
+    placed = nodes.withColumns(
+        {
+            "cell": cell_of(F.col("fingerprint"), blocks),
+            "band": band_of(F.col("size"), least) if banded else F.lit(0).cast("long"),
+        }
+    )
+    held = placed.groupBy("band", "cell").agg(
+        F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("chunks")
+    )
+    known = ["fingerprint", "node", "size"] if banded else ["fingerprint", "node"]
     chunk = F.pmod(F.xxhash64("fingerprint"), F.col("chunks")).cast("int")
     tiles = stored(
-        placed.join(held, "cell")
-        .groupBy("cell", chunk.alias("chunk"))
-        .agg(F.collect_list(F.struct("fingerprint", "node")).alias("rows")),
+        placed.join(held, ["band", "cell"])
+        .groupBy(F.struct("band", "cell").alias("tile"), chunk.alias("chunk"))
+        .agg(F.collect_list(F.struct(*known)).alias("rows")),
         "tiles",
     )
-    steps = F.explode(F.array(*[F.lit(step).cast("long") for step in offsets(blocks, radius)]))
-    listed = tiles.select("cell", "chunk")
-    left = listed.select(F.col("cell").alias("a"), F.col("chunk").alias("i"), steps.alias("step"))
-    left = left.withColumn("b", F.col("a") + F.col("step")).drop("step")
-    right = listed.select(F.col("cell").alias("b"), F.col("chunk").alias("j"))
+    listed = tiles.select("tile", "chunk")
+    left = listed.select(
+        F.col("tile").alias("a"),
+        F.col("chunk").alias("i"),
+        F.explode(tile_steps(blocks, radius, banded)).alias("step"),
+    )
+    moved = [(F.col(f"a.{name}") + F.col(f"step.{name}")).alias(name) for name in ("band", "cell")]
+    left = left.withColumn("b", F.struct(*moved)).drop("step")
+    right = listed.select(F.col("tile").alias("b"), F.col("chunk").alias("j"))
     pairs = left.join(right, "b").filter("a <> b OR i <= j")
-    of_a = tiles.select(F.col("cell").alias("a"), F.col("chunk").alias("i"), F.col("rows").alias("x"))
-    of_b = tiles.select(F.col("cell").alias("b"), F.col("chunk").alias("j"), F.col("rows").alias("y"))
+    of_a = tiles.select(F.col("tile").alias("a"), F.col("chunk").alias("i"), F.col("rows").alias("x"))
+    of_b = tiles.select(F.col("tile").alias("b"), F.col("chunk").alias("j"), F.col("rows").alias("y"))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,6 +243,7 @@ def fingerprint_links(nodes: DataFrame, radius: int) -> DataFrame:
                 found = forest(
                     one.field(0).to_numpy().view(np.uint64), one.field(1).to_numpy(),
                     two.field(0).to_numpy().view(np.uint64), two.field(1).to_numpy(), radius,
+                    *((one.field(2).to_numpy(), two.field(2).to_numpy(), least) if banded else ()),
                 )
                 a.append(found[0])
                 b.append(found[1])
@@ -244,20 +297,23 @@ def run_set(text: bytes, size: int) -> np.ndarray:
 
 
 def marks(text: Column, words: int, run: int) -> Column:
-    """Fingerprint of a text, and a 128-bit hash of its set of runs."""
+    """Fingerprint of a text, and the size and a 128-bit hash of its set of runs."""
 
     def each(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
-            prints, first, second = [], [], []
+            prints, first, second, sizes = [], [], [], []
             for found in bytes_of(column):
                 prints.append(fingerprint(shingle_hashes(found, words)))
-                digest = xxhash.xxh3_128_digest(run_set(found, run).tobytes())
+                runs = run_set(found, run)
+                sizes.append(len(runs))
+                digest = xxhash.xxh3_128_digest(runs.tobytes())
                 first.append(int.from_bytes(digest[:8], "big", signed=True))
                 second.append(int.from_bytes(digest[8:], "big", signed=True))
-            arrays = [pa.array(x, pa.int64()) for x in (prints, first, second)]
-            yield pa.StructArray.from_arrays(arrays, names=["fingerprint", "s1", "s2"])
+            arrays = [pa.array(x, pa.int64()) for x in (prints, first, second, sizes)]
+            yield pa.StructArray.from_arrays(arrays, names=["fingerprint", "s1", "s2", "size"])
 
-    return F.arrow_udf(each, "struct<fingerprint: bigint, s1: bigint, s2: bigint>")(text)
+    schema = "struct<fingerprint: bigint, s1: bigint, s2: bigint, size: bigint>"
+    return F.arrow_udf(each, schema)(text)
 
 
 def run_sets(text: Column, run: int) -> Column:
@@ -349,9 +405,10 @@ def similar_documents(
 ) -> DataFrame:
     """doc_id, row, component: near-duplicates by SimHash, verified on runs of words.
 
-    Fingerprints within `radius` make families, as in `near_duplicates`. Inside a family,
-    texts link whose sets of runs of `run` words share `least` or more of both (a text of
-    fewer words is one run); `component` is the smallest id reachable by such links. Ids and
+    Fingerprints within `radius` make families, as in `near_duplicates`, but for those whose
+    numbers of runs differ too much to share `least`. Inside a family, texts link whose sets
+    of runs of `run` words share `least` or more of both (a text of fewer words is one run);
+    `component` is the smallest id reachable by such links. `least` is above 0. Ids and
     nulls as in `near_duplicates`, a null id as a number from 2**62 on. `row` tells rows
     apart that share an id.
     """
@@ -364,17 +421,18 @@ def similar_documents(
         "marks",
     )
     classes = stored(
-        found.groupBy("fingerprint", "s1", "s2").agg(
+        found.groupBy("fingerprint", "s1", "s2", "size").agg(
             F.min(F.struct("doc_id", "row")).alias("first")
-        ).select("fingerprint", "s1", "s2", F.col("first.doc_id").alias("node"), "first.row"),
+        ).select("fingerprint", "s1", "s2", "size", F.col("first.doc_id").alias("node"), "first.row"),
         "classes",
     )
     nodes = stored(
-        classes.groupBy("fingerprint").agg(F.min("node").alias("node")), "fingerprint-nodes"
+        classes.groupBy("fingerprint", "size").agg(F.min("node").alias("node")),
+        "fingerprint-nodes",
     )
-    families = labelled(nodes, fingerprint_links(nodes, radius))
-    families = families.select("fingerprint", F.col("component").alias("family"))
-    placed = stored(classes.join(families, "fingerprint"), "families")
+    families = labelled(nodes, fingerprint_links(nodes, radius, least))
+    families = families.select("fingerprint", "size", F.col("component").alias("family"))
+    placed = stored(classes.join(families, ["fingerprint", "size"]), "families")
     several = placed.groupBy("family").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     asked = placed.join(several, "family").select("family", "node", "row")
     texts = docs.select(

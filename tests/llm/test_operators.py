@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from marketmill.llm import (
@@ -158,6 +159,40 @@ def test_one_of_each(docs, empty):
     assert simhash.one_of_each(empty).count() == 0
 
 
+def test_similar_documents_against_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TILE", 8)
+    monkeypatch.setattr(simhash, "TILE_RUNS", 500)
+    rng = np.random.default_rng(5)
+    texts = {}
+    for size in (1, 4, 5, 9, 40, 41, 50, 200, 260):
+        base = [f"w{n}" for n in rng.integers(0, 5000, size)]
+        for _ in range(4):
+            changed = list(base)
+            for place in rng.integers(0, size, size // 60):
+                changed[place] = f"v{rng.integers(0, 5000)}"
+            texts[len(texts)] = " ".join(changed[: size - int(rng.integers(0, 1 + size // 12))])
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    # At radius 64 every pair is a candidate, so the sizes alone must not lose one.
+    found = by_id(simhash.similar_documents(rows, radius=64))
+    runs = {i: set(simhash.run_set(text.encode(), 5).tolist()) for i, text in texts.items()}
+    label = {i: i for i in texts}
+    for _ in texts:
+        for a in texts:
+            for b in texts:
+                if len(runs[a] & runs[b]) >= 0.8 * len(runs[a] | runs[b]):
+                    label[a] = label[b] = min(label[a], label[b])
+    assert len(set(label.values())) < len(texts)
+    assert {i: found[i]["component"] for i in texts} == label
+
+
+def test_sizes_that_may_link_are_in_adjacent_bands(spark):
+    sizes = spark.range(0, 3000).select(
+        simhash.band_of(F.col("id"), 0.8).alias("small"),
+        simhash.band_of(F.floor(F.col("id") * 5 / 4), 0.8).alias("large"),
+    )
+    assert sizes.filter("large - small NOT IN (0, 1)").count() == 0
+
+
 @pytest.mark.parametrize("blocks", [1, 2, 4, 8, 16])
 def test_no_link_lies_beyond_the_cells(blocks):
     rng = np.random.default_rng(blocks)

@@ -33,6 +33,12 @@ def shape(schema: StructType) -> list[tuple[str, str]]:
     return [(field.name, field.dataType.simpleString()) for field in schema]
 
 
+def quoted(text: str) -> str:
+    """A SQL string of `text`, whatever quotes or backslashes it has."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 @dataclass(frozen=True)
 class Written:
     """Data that is complete on storage but not yet behind a table name."""
@@ -67,7 +73,7 @@ class Warehouse:
     def create_namespace(self, name: str) -> None:
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS `{self.namespace(name)}` "
-            f"LOCATION '{self.root}/{name}'"
+            f"LOCATION {quoted(f'{self.root}/{name}')}"
         )
 
     def exists(self, namespace: str, table: str) -> bool:
@@ -92,7 +98,7 @@ class Warehouse:
         name = self.identifier(written.namespace, written.table)
         known = self.exists(written.namespace, written.table)
         if known and shape(self.spark.table(name).schema) == shape(written.schema):
-            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{written.location}'")
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION {quoted(written.location)}")
             self.spark.catalog.refreshTable(name)
         else:
             if known:

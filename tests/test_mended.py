@@ -35,6 +35,14 @@ def test_a_rebuilt_table_has_the_new_columns(spark, warehouse, select):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rebuilt.collect()))
 
 
+def test_a_root_with_a_quote(spark, tmp_path):
+    warehouse = Warehouse(spark, f"{tmp_path}/it's", prefix="quote_")
+    for rows in (3, 2):
+        warehouse.replace(spark.range(rows).toDF("id"), "marts", "t")
+    assert warehouse.read("marts", "t").count() == 2
+    spark.sql("DROP DATABASE quote_marts CASCADE")
+
+
 def test_append_refuses_other_columns(spark, warehouse):
     warehouse.replace(spark.range(3).toDF("id"), "marts", "t")
     with pytest.raises(ValueError, match="has columns"):

@@ -296,15 +296,15 @@ def run_set(text: bytes, size: int) -> np.ndarray:
     return np.unique(shingle_hashes(text, size).view("<i8").ravel())
 
 
-def marks(text: Column, words: int, run: int) -> Column:
-    """Fingerprint of a text, and the size and a 128-bit hash of its set of runs."""
+def marks(text: Column, run: int) -> Column:
+    """Fingerprint, size and a 128-bit hash of the set of runs of a text."""
 
     def each(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             prints, first, second, sizes = [], [], [], []
             for found in bytes_of(column):
-                prints.append(fingerprint(shingle_hashes(found, words)))
                 runs = run_set(found, run)
+                prints.append(fingerprint(runs.view(np.uint8).reshape(-1, 8)))
                 sizes.append(len(runs))
                 digest = xxhash.xxh3_128_digest(runs.tobytes())
                 first.append(int.from_bytes(digest[:8], "big", signed=True))
@@ -398,15 +398,14 @@ def similar_documents(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    words: int = 3,
     radius: int = 12,
     run: int = 5,
     least: float = 0.8,
 ) -> DataFrame:
     """doc_id, row, component: near-duplicates by SimHash, verified on runs of words.
 
-    Fingerprints within `radius` make families, as in `near_duplicates`, but for those whose
-    numbers of runs differ too much to share `least`. Inside a family, texts link whose sets
+    Fingerprints of the sets of runs, each run once, make families within `radius`, but for
+    those whose numbers of runs differ too much to share `least`. Inside a family, texts link whose sets
     of runs of `run` words share `least` or more of both (a text of fewer words is one run);
     `component` is the smallest id reachable by such links. `least` is above 0. Ids and
     nulls as in `near_duplicates`, a null id as a number from 2**62 on. `row` tells rows
@@ -416,7 +415,7 @@ def similar_documents(
         docs.select(
             node_id(id_col, text_col).alias("doc_id"),
             row_key(text_col).alias("row"),
-            marks(whole_text(text_col), words, run).alias("marks"),
+            marks(whole_text(text_col), run).alias("marks"),
         ).select("doc_id", "row", "marks.*"),
         "marks",
     )
@@ -456,7 +455,6 @@ def one_of_each(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    words: int = 3,
     radius: int = 12,
     run: int = 5,
     least: float = 0.8,
@@ -466,7 +464,7 @@ def one_of_each(
     See `similar_documents`. Rows that repeat the smallest id all stay; rows without an id
     stay if nothing similar has one. Columns are unchanged.
     """
-    found = similar_documents(docs, id_col, text_col, words, radius, run, least)
+    found = similar_documents(docs, id_col, text_col, radius, run, least)
     gone = found.filter("doc_id <> component").select("doc_id", "row").distinct()
     gone = stored(gone.toDF("_node", "_row"), "near-copies")
     keyed = docs.withColumns({"_node": node_id(id_col, text_col), "_row": row_key(text_col)})

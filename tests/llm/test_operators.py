@@ -185,6 +185,21 @@ def test_similar_documents_against_all_pairs(spark, monkeypatch):
     assert {i: found[i]["component"] for i in texts} == label
 
 
+def test_near_copies_with_repeated_lines_are_found(spark):
+    rng = np.random.default_rng(3)
+    texts = {}
+    for i in range(30):
+        words = [f"w{n}" for n in rng.integers(0, 5000, 100)]
+        texts[2 * i] = " ".join(words)
+        texts[2 * i + 1] = " ".join(words + 20 * words[-12:])
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    left = {row["doc_id"] for row in simhash.one_of_each(rows).collect()}
+    for i in range(30):
+        one, two = (set(simhash.run_set(texts[k].encode(), 5).tolist()) for k in (2 * i, 2 * i + 1))
+        assert len(one & two) >= 0.8 * len(one | two)
+    assert left == {2 * i for i in range(30)}
+
+
 def test_sizes_that_may_link_are_in_adjacent_bands(spark):
     sizes = spark.range(0, 3000).select(
         simhash.band_of(F.col("id"), 0.8).alias("small"),

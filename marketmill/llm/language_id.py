@@ -2,7 +2,7 @@
 
 Document frequencies come from all rows that may be learned from. The regression is
 trained by follow-the-regularised-leader (proximal, elastic net) on a sample of at most
-`per_language` rows of each language; one in five of them is kept for the temperature that
+`per_language` different texts of each language; one in five of them is kept for the temperature that
 calibrates the probabilities. All rows are then scored where they are.
 """
 
@@ -98,13 +98,14 @@ def fit_languages(
     if not count:
         return None
     # The sample is chosen by a hash of the text, on narrow rows, and its texts read then.
+    # Copies of one text share a key and take one place.
     keyed = rows.withColumn("key", F.xxhash64("text"))
     order = W.partitionBy("label").orderBy("key")
-    narrow = keyed.select("label", "key").withColumn("rank", F.row_number().over(order))
+    narrow = keyed.select("label", "key").distinct()
+    narrow = narrow.withColumn("rank", F.row_number().over(order))
     bounds = narrow.filter(F.col("rank") <= per_language).groupBy("label")
     bounds = bounds.agg(F.max("key").alias("last"))
     below = keyed.join(F.broadcast(bounds), "label").filter("key <= last")
-    # Copies of one text share a key: one of them is enough, and the bound holds.
     sample = below.dropDuplicates(["label", "key"])
     found = sample_features(stored(sample.select("label", "key", "text"), "languages"), GRAMS)
     found.sort(key=lambda row: (row[0], len(row[1]), row[1].tobytes()[:64]))

@@ -290,6 +290,23 @@ def test_language_and_quality(spark, docs, empty):
     assert quality.grade(empty, labels).count() == 0
 
 
+def test_copies_take_one_place_of_a_language(spark, monkeypatch):
+    texts = [f"text number {i}" for i in range(40)]
+    rows = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    first = rows.orderBy(F.xxhash64("text")).first()["text"]
+    copies = rows.unionByName(spark.createDataFrame([(first, "en")] * 100, rows.schema))
+    taken, features = [], language_id.sample_features
+
+    def counted(sample, grams):
+        taken.append(sorted(row["text"] for row in sample.collect()))
+        return features(sample, grams)
+
+    monkeypatch.setattr(language_id, "sample_features", counted)
+    for learned in (rows, copies):
+        language_id.fit_languages(learned, per_language=20)
+    assert len(set(taken[0])) == 20 and taken[0] == taken[1]
+
+
 def test_warc_round_trip(spark):
     body = "<p>x\r\n\r\ny</p>"
     rows = [(1, "http://a", body, 0), (2, None, body, 0), (3, "u\r\nv", None, 0), (4, "", "", 0),

@@ -419,10 +419,14 @@ def similar_documents(
         ).select("doc_id", "row", "marks.*"),
         "marks",
     )
+    first = found.groupBy("fingerprint", "s1", "s2", "size").agg(
+        F.min(F.struct("doc_id", "row")).alias("first")
+    )
+    # Rows that share an id may be of several classes: nodes are numbers in the order of ids.
     classes = stored(
-        found.groupBy("fingerprint", "s1", "s2", "size").agg(
-            F.min(F.struct("doc_id", "row")).alias("first")
-        ).select("fingerprint", "s1", "s2", "size", F.col("first.doc_id").alias("node"), "first.row"),
+        first.select("fingerprint", "s1", "s2", "size", "first.*")
+        .orderBy("doc_id", "row", "s1", "s2")
+        .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
     nodes = stored(
@@ -433,21 +437,22 @@ def similar_documents(
     families = families.select("fingerprint", "size", F.col("component").alias("family"))
     placed = stored(classes.join(families, ["fingerprint", "size"]), "families")
     several = placed.groupBy("family").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    asked = placed.join(several, "family").select("family", "node", "row")
+    asked = placed.join(several, "family").select("family", "node", "doc_id", "row")
     texts = docs.select(
-        node_id(id_col, text_col).alias("node"),
+        node_id(id_col, text_col).alias("doc_id"),
         row_key(text_col).alias("row"),
         whole_text(text_col).alias("text"),
     )
     # A bitmap of fixed size keeps most other texts out of the shuffle.
-    likely = marked(texts, bitmap(asked, "node", "row"), "_likely", "node", "row")
-    sets = likely.filter("_likely").join(asked, ["node", "row"]).select(
-        "family", "node", "row", run_sets(F.col("text"), run).alias("runs")
+    likely = marked(texts, bitmap(asked, "doc_id", "row"), "_likely", "doc_id", "row")
+    sets = likely.filter("_likely").join(asked, ["doc_id", "row"]).select(
+        "family", "node", run_sets(F.col("text"), run).alias("runs")
     )
-    sets = stored(sets.dropDuplicates(["node", "row"]), "run-sets")
-    linked = labelled(classes.select("node").distinct(), verified_links(sets, least))
-    by_class = classes.join(linked, "node").select("fingerprint", "s1", "s2", "component")
-    joined = found.join(by_class, ["fingerprint", "s1", "s2"])
+    sets = stored(sets.dropDuplicates(["node"]), "run-sets")
+    linked = labelled(classes.select("node", "s1", "s2"), verified_links(sets, least))
+    least_ids = classes.select(F.col("node").alias("component"), F.col("doc_id").alias("id"))
+    by_class = linked.join(least_ids, "component").select("s1", "s2", F.col("id").alias("component"))
+    joined = found.join(by_class, ["s1", "s2"])
     return joined.select("doc_id", "row", "component")
 
 

@@ -200,6 +200,15 @@ def test_near_copies_with_repeated_lines_are_found(spark):
     assert left == {2 * i for i in range(30)}
 
 
+def test_texts_that_share_an_id_are_judged_one_by_one(spark):
+    words = [[f"{kind}{n}" for n in range(50)] for kind in "abc"]
+    rows = [(3, " ".join(words[0])), (7, " ".join([*words[0], "more"])), (7, " ".join(words[1])),
+            (9, " ".join([*words[1], "more"])), (7, " ".join(words[2]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {(row["doc_id"], row["text"]) for row in simhash.one_of_each(docs).collect()}
+    assert left == {rows[0], rows[2], rows[4]}
+
+
 def test_sizes_that_may_link_are_in_adjacent_bands(spark):
     sizes = spark.range(0, 3000).select(
         simhash.band_of(F.col("id"), 0.8).alias("small"),

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,9 @@ TILE = 4096
 NODES_PER_CELL = 256  # aimed at
 COUNT_BASE = 128  # block counts are digits of this base; a sum of digits never reaches it
 SLICE = 16_384  # shingles whose bits are counted at a time
+PRINT_WORDS = 4  # of 64 bits, in the fingerprint of a set of runs
+PRINT_SLICE = 255  # runs whose bits are counted at a time, in a byte
+MISSED = 1e-6  # chance at most that two sets of the least similarity are no candidates
 TILE_RUNS = 500_000  # of words, in a tile of a family
 ROWS = 256  # rows of a tile that are compared at a time
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -141,26 +144,14 @@ def merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def forest(
-    values: np.ndarray,
-    nodes: np.ndarray,
-    others: np.ndarray,
-    other_nodes: np.ndarray,
-    radius: int,
-    sizes: np.ndarray | None = None,
-    other_sizes: np.ndarray | None = None,
-    least: float = 0.0,
+    values: np.ndarray, nodes: np.ndarray, others: np.ndarray, other_nodes: np.ndarray, radius: int
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect whatever is linked between two tiles (or within one).
-
-    With sizes, the smaller of two linked ones is `least` of the larger or more.
-    """
+    """Links that connect whatever is linked between two tiles (or within one)."""
     counts, other_counts = np.bitwise_count(values), np.bitwise_count(others)
     order, other_order = np.argsort(counts, kind="stable"), np.argsort(other_counts, kind="stable")
     values, nodes, counts = values[order], nodes[order], counts[order].astype(np.int64)
     others, other_nodes = others[other_order], other_nodes[other_order]
     other_counts = other_counts[other_order].astype(np.int64)
-    if sizes is not None:
-        sizes, other_sizes = sizes[order], other_sizes[other_order]
     labels = np.arange(len(values) + len(others))
     for start in range(0, len(values), ROWS):
         part = values[start : start + ROWS]
@@ -168,67 +159,125 @@ def forest(
         high = np.searchsorted(other_counts, counts[start + len(part) - 1] + radius, "right")
         near = np.bitwise_count(part[:, None] ^ others[None, low:high]) <= radius
         i, j = np.nonzero(near)
-        if sizes is not None:
-            one, two = sizes[i + start], other_sizes[j + low]
-            fits = np.minimum(one, two) >= least * np.maximum(one, two)
-            i, j = i[fits], j[fits]
         if len(i):
             labels = merge(labels, i + start, j + low + len(values))
-    every = np.concatenate([nodes, other_nodes])
+    return moved_links(labels, np.concatenate([nodes, other_nodes]))
+
+
+def moved_links(labels: np.ndarray, every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A link from each place whose label is another place to that one, as nodes."""
     moved = np.flatnonzero(labels != np.arange(len(labels)))
     a, b = every[moved], every[labels[moved]]
     return a[a != b], b[a != b]
 
 
-def tile_steps(blocks: int, radius: int, banded: bool) -> Column:
-    """Band and cell differences of tiles that may hold links, each pair of tiles once."""
-    steps = offsets(blocks, radius)
-    ahead = [(0, step) for step in steps]
-    if banded:
-        ahead += [(1, step) for step in {*steps, *(-step for step in steps)}]
-    return F.array(
-        *[
-            F.struct(F.lit(band).cast("long").alias("band"), F.lit(step).cast("long").alias("cell"))
-            for band, step in sorted(ahead)
-        ]
-    )
-
+def print_forest(
+    x: tuple[np.ndarray, np.ndarray, np.ndarray],
+    y: tuple[np.ndarray, np.ndarray, np.ndarray],
+    radius: int,
+    least: float,
+) -> tuple[np.ndarray, np.ndarray]:
+    """As `forest`, for tiles of (rows of PRINT_WORDS words, nodes, sizes of the sets).
 
-def fingerprint_links(nodes: DataFrame, radius: int, least: float | None = None) -> DataFrame:
+    Of two linked sizes the smaller is `least` of the larger or more.
+    """
+    order, other_order = np.argsort(x[2], kind="stable"), np.argsort(y[2], kind="stable")
+    values, nodes, sizes = (part[order] for part in x)
+    others, other_nodes, other_sizes = (part[other_order] for part in y)
+    others = np.ascontiguousarray(others.T)
+    labels = np.arange(len(values) + len(other_nodes))
+    for start in range(0, len(values), ROWS):
+        part = values[start : start + ROWS]
+        # A little wide, against rounding; sizes are compared again below.
+        low = np.searchsorted(other_sizes, 0.999 * least * sizes[start])
+        high = np.searchsorted(other_sizes, 1.001 * sizes[start + len(part) - 1] / least, "right")
+        differing = np.zeros((len(part), high - low), dtype=np.uint16)
+        for k in range(PRINT_WORDS):
+            differing += np.bitwise_count(part[:, k, None] ^ others[k, None, low:high])
+        i, j = np.nonzero(differing <= radius)
+        one, two = sizes[i + start], other_sizes[j + low]
+        fits = np.minimum(one, two) >= least * np.maximum(one, two)
+        if fits.any():
+            labels = merge(labels, i[fits] + start, j[fits] + low + len(values))
+    return moved_links(labels, np.concatenate([nodes, other_nodes]))
+
+
+def tile_steps(blocks: int, radius: int) -> Column:
+    """Cell differences of tiles that may hold links, each pair of tiles once."""
+    return F.array(*[F.lit(step).cast("long") for step in offsets(blocks, radius)])
+
+
+def fingerprint_links(nodes: DataFrame, radius: int) -> DataFrame:
     """Links (`a`, `b`) that connect all nodes whose fingerprints differ in `radius` bits.
 
-    `nodes` is a stored table of distinct `fingerprint`s and their `node` numbers. With
-    `least` it has a `size` too, distinct with the fingerprint, and of two linked sizes the
-    smaller is `least` of the larger or more: tiles then hold sizes of one band, and pairs
-    of tiles whose bands are apart are skipped as well.
+    `nodes` is a stored table of distinct `fingerprint`s and their `node` numbers.
     """
-    banded = least is not None
     blocks = blocks_for(nodes.count(), radius)
-    placed = nodes.withColumns(
-        {
-            "cell": cell_of(F.col("fingerprint"), blocks),
-            "band": band_of(F.col("size"), least) if banded else F.lit(0).cast("long"),
-        }
-    )
-    held = placed.groupBy("band", "cell").agg(
-        F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("chunks")
+    placed = nodes.withColumn("tile", cell_of(F.col("fingerprint"), blocks))
+
+    def compared(x: pa.StructArray, y: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+        return forest(
+            x.field(0).to_numpy().view(np.uint64), x.field(1).to_numpy(),
+            y.field(0).to_numpy().view(np.uint64), y.field(1).to_numpy(), radius,
+        )
+
+    return tile_links(
+        placed, ["fingerprint", "node"], TILE, tile_steps(blocks, radius), compared
     )
-    known = ["fingerprint", "node", "size"] if banded else ["fingerprint", "node"]
-    chunk = F.pmod(F.xxhash64("fingerprint"), F.col("chunks")).cast("int")
+
+
+def print_links(nodes: DataFrame, radius: int, least: float) -> DataFrame:
+    """Links (`a`, `b`) that connect all nodes whose `prints` differ in `radius` bits.
+
+    `nodes` is a stored table of `prints` (PRINT_WORDS words), `node` numbers and `size`s of
+    sets. Of two linked sizes the smaller is `least` of the larger or more: a tile holds
+    sizes of one band, and bands that are apart are not compared. Sets so small that any
+    other shares less than `least` with them are left out.
+    """
+    smallest = math.ceil(least / (1 - least) - 1e-9) if least < 1 else math.inf
+    placed = nodes.filter(F.col("size") >= F.lit(float(smallest)))
+    placed = placed.withColumn("tile", band_of(F.col("size"), least))
+    words = [F.col("prints")[k].alias(f"p{k}") for k in range(PRINT_WORDS)]
+    placed = placed.select("tile", "node", "size", *words)
+    # Small corpora have more tiles than size asks for, so that all tasks have some.
+    rows = min(TILE, max(512, nodes.count() // 64))
+
+    def arrays(rows: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        node, size, *prints = (field.to_numpy() for field in rows.flatten())
+        return np.stack(prints, axis=1).view(np.uint64), node, size
+
+    def compared(x: pa.StructArray, y: pa.StructArray) -> tuple[np.ndarray, np.ndarray]:
+        return print_forest(arrays(x), arrays(y), radius, least)
+
+    known = ["node", "size", *(f"p{k}" for k in range(PRINT_WORDS))]
+    steps = F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))
+    return tile_links(placed, known, rows, steps, compared)
+
+
+def tile_links(
+    placed: DataFrame,
+    known: list[str],
+    rows: int,
+    steps: Column,
+    found_in: Callable[[pa.StructArray, pa.StructArray], tuple[np.ndarray, np.ndarray]],
+) -> DataFrame:
+    """The links that `found_in` finds in all pairs of tiles that differ by one of `steps`.
+
+    Of `placed` a tile holds the columns `known`; one of more than some `rows` is chunked.
+    """
+    held = placed.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("chunks"))
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     tiles = stored(
-        placed.join(held, ["band", "cell"])
-        .groupBy(F.struct("band", "cell").alias("tile"), chunk.alias("chunk"))
+        placed.join(held, "tile")
+        .groupBy("tile", chunk.alias("chunk"))
         .agg(F.collect_list(F.struct(*known)).alias("rows")),
         "tiles",
     )
     listed = tiles.select("tile", "chunk")
     left = listed.select(
-        F.col("tile").alias("a"),
-        F.col("chunk").alias("i"),
-        F.explode(tile_steps(blocks, radius, banded)).alias("step"),
+        F.col("tile").alias("a"), F.col("chunk").alias("i"), F.explode(steps).alias("step")
     )
-    moved = [(F.col(f"a.{name}") + F.col(f"step.{name}")).alias(name) for name in ("band", "cell")]
-    left = left.withColumn("b", F.struct(*moved)).drop("step")
+    left = left.withColumn("b", F.col("a") + F.col("step")).drop("step")
     right = listed.select(F.col("tile").alias("b"), F.col("chunk").alias("j"))
     pairs = left.join(right, "b").filter("a <> b OR i <= j")
     of_a = tiles.select(F.col("tile").alias("a"), F.col("chunk").alias("i"), F.col("rows").alias("x"))
@@ -239,12 +288,7 @@ def fingerprint_links(nodes: DataFrame, radius: int, least: float | None = None)
             a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             x, y = batch.column("x"), batch.column("y")
             for k in range(batch.num_rows):
-                one, two = x[k].values, y[k].values
-                found = forest(
-                    one.field(0).to_numpy().view(np.uint64), one.field(1).to_numpy(),
-                    two.field(0).to_numpy().view(np.uint64), two.field(1).to_numpy(), radius,
-                    *((one.field(2).to_numpy(), two.field(2).to_numpy(), least) if banded else ()),
-                )
+                found = found_in(x[k].values, y[k].values)
                 a.append(found[0])
                 b.append(found[1])
             columns = [pa.array(np.concatenate(a)), pa.array(np.concatenate(b))]
@@ -296,6 +340,54 @@ def run_set(text: bytes, size: int) -> np.ndarray:
     return np.unique(shingle_hashes(text, size).view("<i8").ravel())
 
 
+def set_print(runs: np.ndarray) -> np.ndarray:
+    """PRINT_WORDS words of bits that are set in over half of the different runs' hashes."""
+    steps = np.arange(1, PRINT_WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    counts = np.zeros(64 * PRINT_WORDS, dtype=np.int64)
+    for start in range(0, len(runs), PRINT_SLICE):
+        # SplitMix64 makes several words of each hash.
+        z = runs[start : start + PRINT_SLICE].view(np.uint64)[:, None] + steps
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z ^= z >> np.uint64(31)
+        counts += np.unpackbits(z.view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return np.packbits(2 * counts > len(runs)).view(np.int64)
+
+
+def halves(n: int) -> np.ndarray:
+    """Chances of 0 to n heads."""
+    return np.array([math.comb(n, k) / 2**n for k in range(n + 1)])
+
+
+def differing_share(shared: int, one: int, two: int) -> float:
+    """Chance that a bit differs between two sets with `shared` runs, and `one` and `two` more."""
+    set_of = []
+    for more in (one, two):
+        above, n = halves(more), shared + more
+        set_of.append(np.array([above[max(0, n // 2 + 1 - k) :].sum() for k in range(shared + 1)]))
+    x, y = set_of
+    return float((halves(shared) * (x * (1 - y) + y * (1 - x))).sum())
+
+
+def radius_for(least: float) -> int:
+    """Differing bits that two sets that share `least` exceed with a chance of MISSED at most.
+
+    The share of bits is the highest of small sets; it nears arccos(cosine) / pi as sets grow.
+    """
+    worst = math.acos(2 * least / (1 + least)) / math.pi
+    for a in range(1, 41):
+        for b in range(a, math.floor(a / least + 1e-9) + 1):
+            shared = math.ceil(least * (a + b) / (1 + least) - 1e-9)
+            if shared <= a:
+                worst = max(worst, differing_share(shared, a - shared, b - shared))
+    bits = 64 * PRINT_WORDS
+    beyond, radius = 1.0, -1
+    while beyond > MISSED:
+        radius += 1
+        beyond -= math.comb(bits, radius) * worst**radius * (1 - worst) ** (bits - radius)
+    return radius
+
+
 def marks(text: Column, run: int) -> Column:
     """Fingerprint, size and a 128-bit hash of the set of runs of a text."""
 
@@ -304,15 +396,16 @@ def marks(text: Column, run: int) -> Column:
             prints, first, second, sizes = [], [], [], []
             for found in bytes_of(column):
                 runs = run_set(found, run)
-                prints.append(fingerprint(runs.view(np.uint8).reshape(-1, 8)))
+                prints.append(set_print(runs))
                 sizes.append(len(runs))
                 digest = xxhash.xxh3_128_digest(runs.tobytes())
                 first.append(int.from_bytes(digest[:8], "big", signed=True))
                 second.append(int.from_bytes(digest[8:], "big", signed=True))
-            arrays = [pa.array(x, pa.int64()) for x in (prints, first, second, sizes)]
-            yield pa.StructArray.from_arrays(arrays, names=["fingerprint", "s1", "s2", "size"])
+            arrays = [pa.array(x, pa.int64()) for x in (first, second, sizes)]
+            arrays.insert(0, pa.array(prints, pa.list_(pa.int64())))
+            yield pa.StructArray.from_arrays(arrays, names=["prints", "s1", "s2", "size"])
 
-    schema = "struct<fingerprint: bigint, s1: bigint, s2: bigint, size: bigint>"
+    schema = "struct<prints: array<bigint>, s1: bigint, s2: bigint, size: bigint>"
     return F.arrow_udf(each, schema)(text)
 
 
@@ -398,15 +491,17 @@ def similar_documents(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    radius: int = 12,
+    radius: int | None = None,
     run: int = 5,
     least: float = 0.8,
 ) -> DataFrame:
     """doc_id, row, component: near-duplicates by SimHash, verified on runs of words.
 
-    Fingerprints of the sets of runs, each run once, make families within `radius`, but for
-    those whose numbers of runs differ too much to share `least`. Inside a family, texts link whose sets
-    of runs of `run` words share `least` or more of both (a text of fewer words is one run);
+    Fingerprints of 256 bits of the sets of runs, each run once, make families within
+    `radius`, but for those whose numbers of runs differ too much to share `least`. Without
+    a `radius`, it is that beyond which a pair that shares `least` lies with a chance of
+    MISSED at most. Inside a family, texts link whose sets of runs of `run` words share
+    `least` or more of both (a text of fewer words is one run);
     `component` is the smallest id reachable by such links. `least` is above 0. Ids and
     nulls as in `near_duplicates`, a null id as a number from 2**62 on. `row` tells rows
     apart that share an id.
@@ -419,23 +514,21 @@ def similar_documents(
         ).select("doc_id", "row", "marks.*"),
         "marks",
     )
-    first = found.groupBy("fingerprint", "s1", "s2", "size").agg(
-        F.min(F.struct("doc_id", "row")).alias("first")
+    first = found.groupBy("s1", "s2").agg(
+        F.min(F.struct("doc_id", "row")).alias("first"),
+        F.first("prints").alias("prints"),
+        F.first("size").alias("size"),
     )
     # Rows that share an id may be of several classes: nodes are numbers in the order of ids.
     classes = stored(
-        first.select("fingerprint", "s1", "s2", "size", "first.*")
+        first.select("prints", "s1", "s2", "size", "first.*")
         .orderBy("doc_id", "row", "s1", "s2")
         .withColumn("node", F.monotonically_increasing_id()),
         "classes",
     )
-    nodes = stored(
-        classes.groupBy("fingerprint", "size").agg(F.min("node").alias("node")),
-        "fingerprint-nodes",
-    )
-    families = labelled(nodes, fingerprint_links(nodes, radius, least))
-    families = families.select("fingerprint", "size", F.col("component").alias("family"))
-    placed = stored(classes.join(families, ["fingerprint", "size"]), "families")
+    links = print_links(classes, radius_for(least) if radius is None else radius, least)
+    placed = labelled(classes.select("node", "doc_id", "row"), links)
+    placed = stored(placed.withColumnRenamed("component", "family"), "families")
     several = placed.groupBy("family").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     asked = placed.join(several, "family").select("family", "node", "doc_id", "row")
     texts = docs.select(
@@ -460,7 +553,7 @@ def one_of_each(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    radius: int = 12,
+    radius: int | None = None,
     run: int = 5,
     least: float = 0.8,
 ) -> DataFrame:

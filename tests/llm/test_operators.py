@@ -200,6 +200,43 @@ def test_near_copies_with_repeated_lines_are_found(spark):
     assert left == {2 * i for i in range(30)}
 
 
+def test_texts_at_the_least_similarity_are_candidates(spark):
+    rng = np.random.default_rng(11)
+    texts, want = {}, set()
+    for i in range(150):
+        size = int(rng.integers(60, 300))
+        words = [f"w{n}" for n in rng.integers(0, 50_000, size)]
+        runs = size - 4
+        foreign = [f"v{n}" for n in rng.integers(0, 50_000, runs // 4)]
+        other = (
+            words + foreign,  # runs / (runs + foreign) is just 0.8 or more
+            words[: size - runs // 5],
+            words[: size // 2] + foreign[: max(1, runs // 9 - 4)] + words[size // 2 + max(1, runs // 9 - 4) :],
+        )[i % 3]
+        texts[2 * i], texts[2 * i + 1] = " ".join(words), " ".join(other)
+        want.add(2 * i)
+    for i in range(150, 160):  # nine words against the same eight: four of five runs
+        words = [f"w{n}" for n in rng.integers(0, 50_000, 9)]
+        texts[2 * i], texts[2 * i + 1] = " ".join(words), " ".join(words[:8])
+        want.add(2 * i)
+    for i in want:
+        one, two = (set(simhash.run_set(texts[k].encode(), 5).tolist()) for k in (i, i + 1))
+        assert len(one & two) >= 0.8 * len(one | two)
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    assert {row["doc_id"] for row in simhash.one_of_each(rows).collect()} == want
+
+
+def test_chance_of_a_missed_pair():
+    assert simhash.differing_share(4, 0, 1) == 0.1875
+    hashes = np.random.default_rng(2).integers(-(2**63), 2**63, (4000, 5))
+    apart = [
+        np.bitwise_count((simhash.set_print(x[:4]) ^ simhash.set_print(x)).view(np.uint64)).sum()
+        for x in hashes
+    ]
+    assert abs(np.mean(apart) / 256 - 0.1875) < 0.002
+    assert np.max(apart) <= simhash.radius_for(0.8) <= 80
+
+
 def test_texts_that_share_an_id_are_judged_one_by_one(spark):
     words = [[f"{kind}{n}" for n in range(50)] for kind in "abc"]
     rows = [(3, " ".join(words[0])), (7, " ".join([*words[0], "more"])), (7, " ".join(words[1])),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import OrderedDict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -15,6 +15,7 @@ from marketmill.session import scratch_path
 
 SPACES = r"[\x20\x09-\x0D]+"
 LAST_ID = (1 << 63) - 1  # stands for a null id while ids are compared: after all others
+HELD_TEXTS = 64
 NO_ID = 1 << 62  # from here on, ids stand for rows without one: ids must be smaller
 
 
@@ -57,9 +58,11 @@ def remainder(id_column: str, divisor: int) -> Column:
     return F.crc32(F.col(f"`{id_column}`").cast("string").cast("binary")) % divisor
 
 
-def bytes_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
-    """UTF-8 bytes of a string column without nulls."""
-    return column.cast(pa.large_binary()).to_pylist()
+def bytes_of(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
+    """UTF-8 bytes of a string column without nulls; a few texts are held at a time."""
+    binary = column.cast(pa.large_binary())
+    for start in range(0, len(binary), HELD_TEXTS):
+        yield from binary.slice(start, HELD_TEXTS).to_pylist()
 
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:

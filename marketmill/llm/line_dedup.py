@@ -224,7 +224,7 @@ def drop_common_lines(
     def kept(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         index = LineIndex(folder, shards)
         for column in texts:
-            yield kept_lines(bytes_of(column), index, min_documents, least_characters)
+            yield kept_lines(list(bytes_of(column)), index, min_documents, least_characters)
 
     kept_udf = F.arrow_udf(kept, RESULT)
     found = docs.withColumn("_kept", kept_udf(whole_text(text_col)))

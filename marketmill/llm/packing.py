@@ -15,15 +15,16 @@ number of partitions, also if every document is just over half a sequence long.
 
 from __future__ import annotations
 
+import json
 import math
+import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +35,37 @@ END = 1  # the id that closes a document
 PARTITION_PIECES = 100_000
 FAN_IN = 8
 NEARLY_FULL = 0.98
-CACHED_WORDS = 150_000
-# Fixed value: how the tokenizer cuts lower-case text, white space dropped.
-PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+KEPT_PARTS = 100_000  # in each of two generations
+LONGEST_KEPT = 32
+SLICE = 1 << 20  # characters that are cut into parts at a time
+# How the tokenizer prepares text and cuts it into parts.
+RULES = [
+    {
+        "type": "Sequence",
+        "normalizers": [
+            {"type": "NFC"},
+            {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
+            {"type": "Lowercase"},
+        ],
+    },
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+]
+# The same parts among plain characters: the letters and the digits of lower-case Latin-1.
+LETTERS, DIGITS = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾"
+PARTS = re.compile(rf"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{DIGITS}]|[^\s{LETTERS}{DIGITS}]+")
+ODD = re.compile(r"[^\t\n\r\x20-\x7e\xa1-\xac\xae-\xff]")
+BREAK = re.compile(r"[ \n]")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -49,13 +78,37 @@ def byte_letters() -> dict[int, str]:
     }
 
 
-class WordEncoder:
-    """Text to ids through caches of its blank-separated words and of their parts.
+class PartIds(dict):
+    """Ids of parts, looked up once: of two generations the older goes when the newer is full.
 
-    For tokenizers that put text into NFC and lower case, split it by `PARTS` and drop white
-    space: the ids of a text are then those of its words, one after the other, and those of
-    a word are those of its parts. Only words of showing Latin-1 characters are cut here;
-    all others, and those that may hold a special token, are left to the tokenizer whole.
+    Parts over LONGEST_KEPT characters are not kept, which bounds the bytes.
+    """
+
+    def __init__(self, look_up: Callable[[str], bytes]):
+        super().__init__()
+        self.look_up = look_up
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self.look_up(part)
+        if len(part) <= LONGEST_KEPT:
+            if len(self) >= KEPT_PARTS:
+                self.older = dict(self)
+                self.clear()
+            self[part] = ids
+        return ids
+
+
+class TextEncoder:
+    """Text to ids, the same as the tokenizer's, with the ids of usual parts kept.
+
+    A tokenizer with `RULES` puts text into NFC and lower case and drops what is between its
+    parts, so the ids of a text are those of its parts, one after the other. Texts of plain
+    Latin-1 characters are cut into parts here. Of others that is done word by word, and
+    words with further characters, or that may hold a special token, are left to the
+    tokenizer whole. So are all texts if the tokenizer has other rules.
     """
 
     def __init__(self, path: str):
@@ -63,55 +116,51 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.parts = regex.compile(PARTS)
         self.letters = byte_letters()
-        self.known: dict[str, bytes] = {}
-        encoder = self
-
-        class Words(dict):
-            def __missing__(self, word: bytes) -> bytes:
-                ids = encoder.word(word.decode())
-                if len(self) >= CACHED_WORDS:
-                    self.clear()
-                self[word] = ids
-                return ids
-
-        self.words = Words()
-
-    def word(self, word: str) -> bytes:
-        if not word:
-            return b""
-        if "<|" in word or max(word) > "\xff" or not word.isprintable():
-            return packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
-        return b"".join(map(self.part, self.parts.findall(word.lower())))
+        self.parts = PartIds(self.part)
+        steps = (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)
+        rules = [step and json.loads(step.__getstate__()) for step in steps]
+        special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known_rules = rules == RULES and all(x.startswith("<|") for x in special)
+
+    def whole(self, text: str) -> bytes:
+        return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def part(self, part: str) -> bytes:
-        found = self.known.get(part)
-        if found is None:
-            shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-            found = packed([token.id for token in self.model.tokenize(shown)])
-            if len(self.known) >= CACHED_WORDS:
-                self.known.clear()
-            self.known[part] = found
-        return found
+        shown = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        return packed([token.id for token in self.model.tokenize(shown)])
+
+    def plain(self, text: str) -> bytes:
+        return b"".join(map(self.parts.__getitem__, PARTS.findall(text.lower())))
+
+    def slice(self, text: str) -> bytes:
+        if not odd(text):
+            return self.plain(text)
+        words = text.replace("\n", " ").split(" ")
+        return b"".join(self.whole(w) if odd(w) else self.plain(w) for w in words)
 
     def __call__(self, text: bytes) -> np.ndarray:
-        words = text.replace(b"\n", b" ").split(b" ")
-        return np.frombuffer(b"".join(map(self.words.__getitem__, words)), dtype="<u4")
+        decoded = text.decode()
+        found = map(self.slice, slices(decoded)) if self.known_rules else [self.whole(decoded)]
+        return np.frombuffer(b"".join(found), dtype="<u4")
 
 
-def packed(ids: list[int]) -> bytes:
-    return struct.pack(f"<{len(ids)}I", *ids)
+def odd(text: str) -> bool:
+    return "<|" in text or ODD.search(text) is not None
+
 
+def slices(text: str) -> Iterator[str]:
+    """Slices of `text` that end at a blank or a line break."""
+    start = 0
+    while start < len(text):
+        end = BREAK.search(text, start + SLICE)
+        stop = end.end() if end else len(text)
+        yield text[start:stop]
+        start = stop
 
-def word_encoder(path: str) -> WordEncoder:
-    """One encoder for each worker process: it stays with the loaded tokenizers module."""
-    import tokenizers
 
-    held = vars(tokenizers).setdefault("_word_encoders", {})
-    if path not in held:
-        held[path] = WordEncoder(path)
-    return held[path]
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def tokenised_pieces(
@@ -130,7 +179,7 @@ def tokenised_pieces(
     schema = PIECES + (", ids array<int>" if with_ids else "")
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(tokenizer_path)
+        encode = TextEncoder(tokenizer_path)  # of this task, and gone with it
         for batch in batches:
             rows: list[tuple] = []
             kept: list[np.ndarray] = []

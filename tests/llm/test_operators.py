@@ -110,6 +110,23 @@ def test_packing(docs, empty):
     assert packing.pack(packing.tokenised_pieces(empty, path)).count() == 0
 
 
+def test_encoder_agrees_with_the_tokenizer(monkeypatch):
+    monkeypatch.setattr(packing, "KEPT_PARTS", 50)
+    monkeypatch.setattr(packing, "SLICE", 40)
+    letters = [*"abcxyzABC '`stlrevemd0123²½ªºßÀÿ÷×\t\n\r\x0b\x0c\x85\xa0\xad\x00\x1c\x7f.,!?<|>-_éñİıſK中文😀",
+               "e\u0301", "\u200b", "<|endoftext|>", "'s", "'LL", "  ", "\n\n"]
+    drawn = np.random.default_rng(7)
+    texts = ["".join(drawn.choice(letters, n)) for n in drawn.integers(0, 30, 3000)]
+    texts += ["".join(drawn.choice(letters, 5000)), "plain words only " * 200, "x" * 300]
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):  # the second has other rules
+        path = public_tokenizers.path(name)
+        plain, encode = Tokenizer.from_file(path), packing.TextEncoder(path)
+        assert encode.known_rules == (name == "word_bpe_49k.json")
+        for text in texts:
+            assert encode(text.encode()).tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(encode.parts) <= 50 and len(encode.parts.older) <= 50
+
+
 def check_gapless(rows, capacity):
     bins = collections.defaultdict(list)
     for row in rows:

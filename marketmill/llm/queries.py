@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 from marketmill.llm import (
     decontamination,
     exact_dedup,
+    filter_audit,
     language_id,
     line_dedup,
+    minhash,
     packing,
     quality,
     simhash,
     substring_dedup,
     suffix_dedup,
     warc,
+    whitening,
 )
 
 TOKENIZER = "word_bpe_49k.json"
@@ -83,6 +86,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest("body"))
 
 
+def op11_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, least=80)
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "kept")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -96,6 +112,9 @@ QUERIES = {
         op8_line_dedup,
         op9_substring_dedup,
         op10_suffix_dedup,
+        op11_minhash,
+        op12_filter_audit,
+        op13_whitening,
     )
 }
 
@@ -168,4 +187,59 @@ SQL = {
                sha256(coalesce(kept.text, '')) AS kept_sha256
         FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id
     """,
+    "op12_filter_audit": r"""
+        WITH texts AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+                   list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                               lambda x: x <> '') AS words
+            FROM documents),
+        said AS (
+            SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic
+            FROM labels GROUP BY doc_id),
+        failed AS (
+            SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+                   len(words) < 100 AS a,
+                   100 * len(list_distinct(words)) < 80 * len(words) AS b,
+                   100 * (length(body) - length(regexp_replace(body, '[A-Z]', '', 'g')))
+                       > 10 * length(body) AS c,
+                   regexp_matches(body, '[#$%&*|]') AS d,
+                   texts.doc_id > min(texts.doc_id) OVER (PARTITION BY body) AS e
+            FROM texts LEFT JOIN said ON texts.doc_id = said.doc_id),
+        counted AS (
+            SELECT part, good, toxic, list_filter(['A', 'B', 'C', 'D', 'E'], lambda x:
+                       CASE x WHEN 'A' THEN a WHEN 'B' THEN b WHEN 'C' THEN c
+                              WHEN 'D' THEN d ELSE e END) AS fails, count(*) AS n
+            FROM failed GROUP BY ALL),
+        letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+        orders AS (
+            SELECT p.x || q.x || r.x || s.x || t.x AS filter_order
+            FROM letters p, letters q, letters r, letters s, letters t
+            WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5),
+        steps AS (
+            SELECT filter_order, unnest(range(1, 6))::INT AS step FROM orders),
+        placed AS (
+            SELECT part, filter_order, step, n, good, toxic, fails,
+                   substr(filter_order, step, 1) AS filter,
+                   coalesce(list_min(list_transform(fails, lambda x: instr(filter_order, x))), 6)
+                       AS gone
+            FROM counted, steps),
+        summed AS (
+            SELECT part, filter_order, step, filter,
+                   sum(n) FILTER (WHERE gone > step) AS kept,
+                   sum(n) FILTER (WHERE gone = step) AS removed,
+                   sum(n) FILTER (WHERE gone < step AND list_contains(fails, filter))
+                       AS redundant,
+                   sum(n) FILTER (WHERE fails = [filter]) AS unique_fails,
+                   sum(n) FILTER (WHERE gone = step AND good) AS good_lost,
+                   sum(n) FILTER (WHERE gone = step AND toxic) AS toxic_lost
+            FROM placed GROUP BY ALL)
+        SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept,
+               coalesce(removed, 0)::BIGINT AS removed,
+               coalesce(redundant, 0)::BIGINT AS redundant,
+               coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+               coalesce(good_lost, 0)::BIGINT AS good_lost,
+               coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+               coalesce(sum(removed) OVER (PARTITION BY part, filter), 0)::BIGINT AS shapley
+        FROM summed
+    """,
 }

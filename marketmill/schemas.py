@@ -114,8 +114,8 @@ RAW_COLUMNS = {
     ),
 }
 
-# Only free text holds line breaks. A file read in multi-line mode cannot be split
-# between tasks, so the other tables, however large, are read line by line.
+# Only free text holds line breaks. To split such a file between tasks, the quotes before
+# each split must be known; the other tables are read line by line.
 MULTI_LINE_TABLES = frozenset({"olist_order_reviews"})
 
 # Nested catalog document: node id -> what is documented about it.

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from marketmill.functions.numbers import rounded_int
 from marketmill.functions.text import NULL_TOKENS, SEED_NULL_TOKENS, null_if_token
 from marketmill.schemas import MULTI_LINE_TABLES, RAW_COLUMNS, SEED_FILES
+from marketmill.sources.quoted_text import RANGE_BYTES, quoted_cells, quoted_records
 from marketmill.sources.tables import Warehouse, in_parallel
 
 # Fixed value: folder below a bucket that holds the landing files.
@@ -70,8 +71,39 @@ def typed_cell(name: str, kind: str, tokens: tuple[str, ...] = NULL_TOKENS) -> C
     return cell.cast(kind).alias(name)
 
 
+def longest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the longest file; only sizes are looked at."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.coalesce(F.max("length"), F.lit(0))).first()[0]
+
+
+def text_cells(
+    spark: SparkSession, path: str, names: list[str], multi_line: bool, range_bytes: int
+) -> DataFrame:
+    """The cells of CSV files as text. Files with line breaks in quotes are read as a whole
+    up to `range_bytes`, longer ones in ranges of that size by as many tasks."""
+    if multi_line and longest_file(spark, path) > range_bytes:
+        records = quoted_records(spark, path, range_bytes)
+        if records is not None:
+            return quoted_cells(records, names)
+    return (
+        spark.read.schema(", ".join(f"{name} string" for name in names))
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
+        .option("quote", '"')
+        .option("escape", '"')
+        .csv(path)
+    )
+
+
 def read_csv_table(
-    spark: SparkSession, path: str, table: str, multi_line: bool | None = None
+    spark: SparkSession,
+    path: str,
+    table: str,
+    multi_line: bool | None = None,
+    range_bytes: int = RANGE_BYTES,
 ) -> DataFrame:
     """One landing file (or a folder of parts) with its declared types.
 
@@ -83,22 +115,13 @@ def read_csv_table(
     columns = RAW_COLUMNS[table]
     if multi_line is None:
         multi_line = table in MULTI_LINE_TABLES
-    text = (
-        spark.read.schema(", ".join(f"{name} string" for name, _ in columns))
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(path)
-    )
+    text = text_cells(spark, path, [name for name, _ in columns], multi_line, range_bytes)
     tokens = SEED_NULL_TOKENS if table in SEED_FILES.values() else NULL_TOKENS
     return text.select(*(typed_cell(name, kind, tokens) for name, kind in columns))
 
 
 def read_csv_tables(
-    spark: SparkSession, root: str, files: Mapping[str, str]
+    spark: SparkSession, root: str, files: Mapping[str, str], range_bytes: int = RANGE_BYTES
 ) -> dict[str, DataFrame]:
     """All landing files as lazy frames; fails like `require_files`.
 
@@ -108,7 +131,8 @@ def read_csv_tables(
     frames, missing = {}, []
     for name, table in files.items():
         try:
-            frames[table] = read_csv_table(spark, f"{root.rstrip('/')}/{name}", table)
+            path = f"{root.rstrip('/')}/{name}"
+            frames[table] = read_csv_table(spark, path, table, range_bytes=range_bytes)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -118,7 +142,11 @@ def read_csv_tables(
 
 
 def load_csv_tables(
-    warehouse: Warehouse, root: str, files: Mapping[str, str], namespace: str = "raw"
+    warehouse: Warehouse,
+    root: str,
+    files: Mapping[str, str],
+    namespace: str = "raw",
+    range_bytes: int = RANGE_BYTES,
 ) -> dict[str, int]:
     """Full reload of all tables; returns `{table: rows}`.
 
@@ -126,7 +154,7 @@ def load_csv_tables(
     write has succeeded do the table names move to the new data. A rerun therefore
     replaces, and a failed run leaves the previous load in place.
     """
-    frames = read_csv_tables(warehouse.spark, root, files)
+    frames = read_csv_tables(warehouse.spark, root, files, range_bytes)
     warehouse.create_namespace(namespace)
     staged = in_parallel(
         warehouse.spark,

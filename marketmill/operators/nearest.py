@@ -8,9 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketmill.functions.vectors import similarity_to, vector_batch
@@ -20,8 +21,10 @@ from marketmill.session import scratch_path
 TOP_K = 5
 LISTS = 10
 
-QUESTIONS_PER_WAVE = 4096  # about so many are answered by one pass over the corpus
+QUESTIONS_PER_BLOCK = 1024
 QUESTIONS_PER_PRODUCT = 256
+BLOCK_ROWS = 4096
+SHARES = 64  # of the corpus, over which each block of questions is copied
 
 
 def nearest(
@@ -56,48 +59,89 @@ def nearest_for_each(
 ) -> DataFrame:
     """(question, rank, similarity, id) of the `k` best rows for every question.
 
-    Questions are dealt into waves of about 4,096 and stored by wave. A wave is one pass
-    over the corpus, whose tasks keep k rows per question; its hits are written before the
-    next wave is fetched, so the driver never holds more than one wave and no plan grows
-    with the questions. A question whose vector is NULL or has no length gets the first
-    `k` ids without similarity, as in `nearest`; without questions there are no rows.
+    The corpus is put into blocks where it is read, the questions, stored once, into blocks
+    of about QUESTIONS_PER_BLOCK. A block of the corpus meets every block of questions
+    through one of SHARES numbers that each question block is copied to: Spark broadcasts
+    few questions by their size, and then the corpus does not move; many are joined. No
+    question passes the driver. A question whose vector is NULL or has no length gets the
+    first `k` ids without similarity, as in `nearest`; without questions there are no rows.
     """
-    spark = corpus.sparkSession
-    kinds = {field.name: field.dataType.simpleString() for field in corpus.schema}
-    question_kind = questions.schema[question_column].dataType.simpleString()
-    schema = f"question {question_kind}, id {kinds[id_column]}, similarity double"
     asked = questions.select(
         F.col(question_column).alias("question"), F.col(vector).alias("vector")
     )
-    folder = scratch_path(spark, "questions")
-    asked.withColumn("place", F.monotonically_increasing_id()).write.parquet(f"{folder}/asked")
-    held = spark.read.parquet(f"{folder}/asked")
-    rows, width = held.agg(F.count(F.lit(1)), F.max(F.array_size("vector"))).first()
-    waves = math.ceil(rows / QUESTIONS_PER_WAVE)
-    if waves == 0:
-        return spark.createDataFrame(
-            [],
-            f"`{question_column}` {question_kind}, rank int, similarity double, "
-            f"`{id_column}` {kinds[id_column]}",
-        )
-    dealt = held.withColumn("wave", F.pmod(F.xxhash64("place"), F.lit(waves)).cast("int"))
-    dealt.repartition(waves, "wave").write.partitionBy("wave").parquet(f"{folder}/waves")
+    shares = F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1)))
+    groups = question_blocks(asked, []).withColumn("share", shares)
+    blocks = corpus_blocks(corpus, vector, id_column)
+    spread = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SHARES)).cast("int")
+    hits = best_of_pairs(groups.join(blocks.withColumn("share", spread), "share"), k)
+    return ranked(hits, k, question_column, id_column)
+
+
+def question_blocks(asked: DataFrame, by: list[str]) -> DataFrame:
+    """`by` and questions, targets: blocks of the rows (`by`, question, vector), stored once."""
+    path = scratch_path(asked.sparkSession, "questions")
+    counted = Observation()
+    asked.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+    count = max(1, math.ceil(counted.get["rows"] / QUESTIONS_PER_BLOCK))
+    stored = asked.sparkSession.read.parquet(path)
+    deal = F.pmod(F.xxhash64("question"), F.lit(count)).alias("deal")
+    rows = F.collect_list(F.struct("question", "vector")).alias("asked")
+    return stored.groupBy(*by, deal).agg(rows).drop("deal")
+
+
+def corpus_blocks(corpus: DataFrame, vector: str, id_column: str, by: str | None = None) -> DataFrame:
+    """ids, vectors (and `by`): up to BLOCK_ROWS rows as one, without a shuffle."""
+    kinds = {field.name: field.dataType.simpleString() for field in corpus.schema}
+    names = [name for name in (by,) if name]
+    schema = ", ".join([*(f"`{name}` {kinds[name]}" for name in names),
+                        f"ids array<{kinds[id_column]}>, vectors array<{kinds[vector]}>"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            cuts = set(range(0, batch.num_rows, BLOCK_ROWS))
+            if by:
+                batch = batch.sort_by(by)
+                ends = pc.run_end_encode(batch.column(2)).run_ends.to_pylist()
+                cuts.update(ends[:-1])
+            cuts = sorted(cuts)
+            offsets = pa.array([*cuts, batch.num_rows], pa.int32())
+            arrays = [pa.ListArray.from_arrays(offsets, batch.column(i)) for i in range(2)]
+            if by:
+                arrays.insert(0, batch.column(2).take(pa.array(cuts)))
+            yield pa.RecordBatch.from_arrays(arrays, names=[*names, "ids", "vectors"])
+
+    chosen = corpus.select(F.col(id_column), F.col(vector), *names)
+    return chosen.mapInArrow(run, schema)
+
+
+def best_of_pairs(pairs: DataFrame, k: int) -> DataFrame:
+    """question, id, similarity: the `k` best of each pair (asked; ids, vectors) of blocks."""
+    asked = pairs.schema["asked"].dataType.elementType
+    kind = asked["question"].dataType.simpleString()
+    schema = (
+        f"question {kind}, id {pairs.schema['ids'].dataType.elementType.simpleString()}, "
+        "similarity double"
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                questions, vectors = batch.column("asked")[at].values.flatten()
+                ids, rows = batch.column("ids")[at].values, batch.column("vectors")[at].values
+                yield from best_of_block(questions, vectors, ids, rows, k)
+
+    return pairs.select("asked", "ids", "vectors").mapInArrow(run, schema)
 
-    scanned = corpus.select(F.col(id_column).alias("id"), F.col(vector).alias("vector"))
-    stored = spark.read.parquet(f"{folder}/waves")
-    for wave in range(waves):
-        group = stored.where(F.col("wave") == wave).select("question", "vector").toArrow()
-        if group.num_rows:
-            hits = scanned.mapInArrow(best_of_task(group, width, k), schema)
-            hits.write.mode("append").parquet(f"{folder}/hits")
 
+def ranked(hits: DataFrame, k: int, question_column: str, id_column: str) -> DataFrame:
+    """(question, rank, similarity, id): the `k` best of all hits of a question."""
     best = Window.partitionBy("question").orderBy(
         F.col("similarity").desc_nulls_last(), F.col("id")
     )
     return (
-        spark.read.schema(schema)
-        .parquet(f"{folder}/hits")
-        .withColumn("rank", F.row_number().over(best))
+        hits.withColumn("rank", F.row_number().over(best))
         .where(F.col("rank") <= k)
         .select(
             F.col("question").alias(question_column),
@@ -108,66 +152,59 @@ def nearest_for_each(
     )
 
 
-def best_of_task(questions: pa.Table, width: int | None, k: int):
-    """A `mapInArrow` function: the `k` best rows of its task for each question.
+def best_of_block(
+    names: pa.Array, vectors: pa.Array, ids: pa.Array, values: pa.Array, k: int
+) -> Iterator[pa.RecordBatch]:
+    """The `k` best rows of a block for each question.
 
-    One matrix product scores a batch against 256 questions. Its last digits depend
-    on where a row lies in the batch, so the rows that could be among the best are
-    scored again one by one; equal vectors then tie and go by id. `width` is the size
-    of the vectors, None where all questions are NULL.
+    One matrix product scores the block against 256 questions. Its last digits depend on
+    where a row lies in the block, so the rows that could be among the best are scored
+    again one by one; equal vectors then tie and go by id.
     """
-    name_type = questions.schema.field(0).type
-    names = questions.column(0).to_pylist()
+    width = size_of(vectors)
     targets = np.zeros((len(names), width or 0))
     if width:
-        given, vectors = vector_batch(questions.column(1).combine_chunks(), width)
-        targets[given] = vectors
+        given, found = vector_batch(vectors, width)
+        targets[given] = found
     lengths = np.sqrt(np.einsum("ij,ij->i", targets, targets))
     unlike = np.flatnonzero(lengths == 0)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: list[pa.Table | None] = [None] * len(names)
-        first: pa.Table | None = None  # the answer to all questions without a direction
-
-        def keep(seen: pa.Table | None, ids: pa.Array, scores: np.ndarray) -> pa.Table:
-            found = pa.table({"id": ids, "similarity": pa.array(scores, from_pandas=True)})
-            found = found if seen is None else pa.concat_tables([seen, found])
-            order = [("similarity", "descending"), ("id", "ascending")]
-            return found.sort_by(order).slice(0, k)
-
-        for batch in batches:
-            ids = batch.column("id")
-            if len(unlike):
-                first = keep(first, ids, np.full(len(ids), np.nan))
-            if len(unlike) == len(names):
-                continue
-            present, rows = vector_batch(batch.column("vector"), targets.shape[1])
-            norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
-            present, rows, norms = present[norms > 0], rows[norms > 0], norms[norms > 0]
-            for start in range(0, len(names), QUESTIONS_PER_PRODUCT):
-                part = targets[start : start + QUESTIONS_PER_PRODUCT]
-                products = rows @ part.T / norms[:, None]
-                for place, target in enumerate(part, start):
-                    if lengths[place] == 0:
-                        continue
-                    scores = np.full(len(ids), np.nan)
-                    chosen = could_be_best(products[:, place - start], lengths[place], k)
-                    scores[present[chosen]] = (
-                        np.einsum("ij,j->i", rows[chosen], target)
-                        / (norms[chosen] * lengths[place])
-                    )
-                    wanted = ~np.isnan(scores)
-                    if wanted.sum() < k:  # too few usable vectors: the others follow them
-                        wanted[:] = True
-                    best[place] = keep(best[place], ids.filter(pa.array(wanted)), scores[wanted])
+    def best(of: pa.Array, scores: np.ndarray) -> pa.Table:
+        found = pa.table({"id": of, "similarity": pa.array(scores, from_pandas=True)})
+        order = [("similarity", "descending"), ("id", "ascending")]
+        return found.sort_by(order).slice(0, k)
+
+    answers: list[pa.Table | None] = [None] * len(names)
+    if len(unlike) < len(names):
+        present, rows = vector_batch(values, width)
+        norms = np.sqrt(np.einsum("ij,ij->i", rows, rows))
+        present, rows, norms = present[norms > 0], rows[norms > 0], norms[norms > 0]
+        for start in range(0, len(names), QUESTIONS_PER_PRODUCT):
+            part = targets[start : start + QUESTIONS_PER_PRODUCT]
+            products = rows @ part.T / norms[:, None]
+            for place, target in enumerate(part, start):
+                if lengths[place] == 0:
+                    continue
+                chosen = could_be_best(products[:, place - start], lengths[place], k)
+                scores = np.einsum("ij,j->i", rows[chosen], target) / (norms[chosen] * lengths[place])
+                if len(chosen) >= k:
+                    answers[place] = best(ids.take(pa.array(present[chosen])), scores)
+                else:  # too few usable vectors: the others follow them
+                    all_ = np.full(len(ids), np.nan)
+                    all_[present[chosen]] = scores
+                    answers[place] = best(ids, all_)
+    if len(unlike):  # one answer to all questions without a direction
+        first = best(ids, np.full(len(ids), np.nan))
         for place in unlike:
-            best[place] = first
-        for place, found in enumerate(best):
-            if found is not None:
-                question = pa.array([names[place]] * found.num_rows, name_type)
-                yield from found.add_column(0, "question", question).combine_chunks().to_batches()
+            answers[place] = first
+    for place, found in enumerate(answers):
+        question = pa.array([names[place].as_py()] * found.num_rows, names.type)
+        yield from found.add_column(0, "question", question).combine_chunks().to_batches()
+
 
-    return run
+def size_of(vectors: pa.Array) -> int | None:
+    """The length of the vectors; None if all are NULL."""
+    return pc.max(pc.list_value_length(vectors)).as_py()
 
 
 def could_be_best(products: np.ndarray, length: float, k: int) -> np.ndarray:

@@ -186,8 +186,8 @@ def test_questions_without_direction(spark, vectors, others):
         assert found[3] == [(59, False), (58, False), (57, False)]
 
 
-def test_more_questions_make_more_waves_but_no_larger_plan(spark, vectors, monkeypatch):
-    monkeypatch.setattr("marketmill.operators.nearest.QUESTIONS_PER_WAVE", 500)
+def test_more_questions_make_more_blocks_but_no_larger_plan(spark, vectors, monkeypatch):
+    monkeypatch.setattr("marketmill.operators.nearest.QUESTIONS_PER_BLOCK", 500)
     asked = spark.range(3000).selectExpr("id AS question_id", "array(CAST(id AS float), 50f) AS embedding")
     many = nearest_for_each(vectors, asked, k=1)
     assert {r["question_id"]: r["id"] for r in many.collect()}.keys() == set(range(3000))

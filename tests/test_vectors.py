@@ -143,3 +143,22 @@ def test_more_lists_find_more(spark, corpus, lists):
 def test_other_lists_are_not_read(spark, corpus, lists):
     text = plan(nearest_in_lists(spark, lists, corpus_rows()[1][1], probes=1))
     assert "PartitionFilters: [isnotnull(list_id" in text or "PartitionFilters: [list_id" in text
+
+
+def test_questions_do_not_pass_the_driver(spark, corpus, monkeypatch):
+    asked = spark.createDataFrame(
+        [(i, v) for i, v in corpus_rows(60, seed=3) if v], "question_id int, embedding array<float>"
+    )
+    monkeypatch.setattr("marketmill.operators.nearest.QUESTIONS_PER_BLOCK", 7)
+    monkeypatch.setattr("marketmill.operators.nearest.BLOCK_ROWS", 11)
+    with monkeypatch.context() as patched:
+        for name in ("collect", "toArrow", "toPandas", "toLocalIterator", "first", "take", "head"):
+            patched.setattr(type(corpus), name, None)
+        answers = nearest_for_each(corpus, asked, k=3)
+    found = {}
+    for row in answers.orderBy("question_id", "rank").collect():
+        found.setdefault(row["question_id"], []).append(row["id"])
+    vectors = dict(corpus_rows(60, seed=3))
+    assert found.keys() == {i for i, v in vectors.items() if v}
+    for name, hits in found.items():
+        assert hits == (expected(vectors[name], 3) if any(vectors[name]) else [0, 1, 2])

@@ -19,13 +19,14 @@ def upsert(
     updated: Sequence[str],
     id_column: str,
     newest_first: Sequence[Column],
+    highest: Column | None = None,
 ) -> DataFrame:
     """`target` after `batch`, as a new DataFrame with the columns of `target`.
 
     `keys` names the key expressions over columns both sides share. A batch row with a
     NULL key fails the run (coalesce where NULL is a key value of its own). Rows of the
     target keep their id and their own key columns, and take `updated` from the batch;
-    other batch rows are added under new, higher ids. Among batch rows of one key the
+    other batch rows are added under new ids above `highest` (of the target's by default). Among batch rows of one key the
     first in `newest_first` order wins.
 
     The winners of the batch are written to the shared folder at once, each with a mark
@@ -62,7 +63,8 @@ def upsert(
         )
     )
 
-    highest = target.select(F.coalesce(F.max(id_column), F.lit(0)).alias("highest")).scalar()
+    if highest is None:
+        highest = target.select(F.coalesce(F.max(id_column), F.lit(0)).alias("highest")).scalar()
     added = number_by_hash(newest.where("NOT _known"), key_names, id_column, start=highest)
     return kept.unionByName(added.select(*target.columns))
 

@@ -65,6 +65,12 @@ def bytes_of(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
         yield from binary.slice(start, HELD_TEXTS).to_pylist()
 
 
+def texts_of(column: pa.Array | pa.ChunkedArray) -> Iterator[str]:
+    """The texts of a string column; a few are held at a time."""
+    for start in range(0, len(column), HELD_TEXTS):
+        yield from column.slice(start, HELD_TEXTS).to_pylist()
+
+
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a file or folder in a store that all executors reach."""
     return pafs.FileSystem.from_uri(re.sub("^file:/+", "file:///", uri))

@@ -3,7 +3,7 @@
 Document frequencies come from all rows that may be learned from. The regression is
 trained by follow-the-regularised-leader (proximal, elastic net) on a sample of at most
 `per_language` different texts of each language; one in five of them is kept for the temperature that
-calibrates the probabilities. All rows are then scored where they are.
+calibrates the probabilities, if they are 50 or more in all (else it is one). All rows are then scored where they are.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ EPOCHS = 3
 LEARNING_RATE = 0.5
 L1 = 0.02
 L2 = 0.01
+TEMPERATURES = np.exp(np.linspace(np.log(0.005), np.log(20), 300))
+DEALS = 16  # of a language, each of which hands on `per_language` keys at most
 GRAMS = NGrams(sizes=(1, 2, 3), bits=18, lower=True)
 
 
@@ -76,13 +78,18 @@ def fit_leader(
 
 
 def best_temperature(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The divisor of the logits under which the labels are likeliest."""
+    """The divisor of the logits under which the labels are likeliest.
+
+    A label counts as one that is right in all but one of n + 2 cases, so that the best
+    divisor is a finite one also if all n rows are told right.
+    """
     if not len(labels):
         return 1.0
-    tried = np.exp(np.linspace(np.log(0.05), np.log(20), 200))
-    at = np.arange(len(labels))
-    losses = [-np.log(softmax(logits / t)[at, labels] + 1e-12).mean() for t in tried]
-    return float(tried[int(np.argmin(losses))])
+    doubt = 1 / (len(labels) + 2)
+    targets = np.full(logits.shape, doubt / max(logits.shape[1] - 1, 1))
+    targets[np.arange(len(labels)), labels] = 1 - doubt
+    losses = [-(targets * np.log(softmax(logits / t) + 1e-12)).sum() for t in TEMPERATURES]
+    return float(TEMPERATURES[int(np.argmin(losses))])
 
 
 def fit_languages(
@@ -100,10 +107,13 @@ def fit_languages(
     # The sample is chosen by a hash of the text, on narrow rows, and its texts read then.
     # Copies of one text share a key and take one place.
     keyed = rows.withColumn("key", F.xxhash64("text"))
-    order = W.partitionBy("label").orderBy("key")
     narrow = keyed.select("label", "key").distinct()
-    narrow = narrow.withColumn("rank", F.row_number().over(order))
-    bounds = narrow.filter(F.col("rank") <= per_language).groupBy("label")
+    narrow = narrow.withColumn("deal", F.pmod("key", F.lit(DEALS)))
+    for dealt in (["label", "deal"], ["label"]):
+        order = W.partitionBy(*dealt).orderBy("key")
+        narrow = narrow.withColumn("rank", F.row_number().over(order))
+        narrow = narrow.filter(F.col("rank") <= per_language)
+    bounds = narrow.groupBy("label")
     bounds = bounds.agg(F.max("key").alias("last"))
     below = keyed.join(F.broadcast(bounds), "label").filter("key <= last")
     sample = below.dropDuplicates(["label", "key"])
@@ -158,7 +168,11 @@ def held_out(id_col: str, divisor: int, left: int) -> Column:
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang"):
-    """`docs` with held_out, lang_pred and score; learned from the rows not held out."""
+    """`docs` with held_out, lang_pred and score; learned from the rows not held out.
+
+    Null texts count as empty; rows with a null id are not held out. Repeated rows are one
+    text to learn from, and get the same prediction each.
+    """
     flagged = docs.withColumn("held_out", held_out(id_col, 4, 2))
     model = fit_languages(flagged.filter("NOT held_out"), text, lang)
     return identified(flagged, model, text)

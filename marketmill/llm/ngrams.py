@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketmill.llm.common import texts_of
+
 SCALE = 10.0  # of the features: keeps usual values near one
 SLICE = 1 << 20  # characters that are hashed at a time
 # Odd factors, from a rule: multiples of the 32-bit golden ratio.
@@ -89,7 +91,7 @@ def document_frequencies(texts: DataFrame, grams: NGrams) -> tuple[np.ndarray, i
         met = np.zeros(width + 1, dtype=np.int64)
         mark = np.zeros(width, dtype=bool)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in texts_of(batch.column(0)):
                 for part in grams.slices(text):
                     mark[part] = True
                 places = np.flatnonzero(mark)
@@ -157,7 +159,7 @@ def scored(text: Column, grams: NGrams, weights, finish) -> Column:
     def each(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = weights.value
         for column in columns:
-            rows = [grams.score(text, table) for text in column.to_pylist()]
+            rows = [grams.score(text, table) for text in texts_of(column)]
             found = finish(np.array(rows).reshape(len(rows), len(table)))
             yield pa.array(list(found), pa.list_(pa.float64()))
 

@@ -37,6 +37,18 @@ def whole_text(column: str) -> Column:
     return F.coalesce(F.col(f"`{column}`").cast("string"), F.lit(""))
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """`names`, lengthened where `df` has such a column: helpers beside the caller's columns."""
+    taken = {name.lower() for name in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def row_key(text: str) -> Column:
     """Tells rows that share an id apart."""
     return F.xxhash64(whole_text(text))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.llm.common import bytes_of, whole_text
+from marketmill.llm.common import bytes_of, spare, whole_text
 from marketmill.llm.words import run_hashes, word_hashes
 
 RUN = 5
@@ -218,4 +218,5 @@ def without_benchmark(
 ) -> DataFrame:
     """The rows of `docs` in which no item of `benchmark` is found; columns unchanged."""
     hits = benchmark_hits(docs, benchmark, text_col, item_col, item_text)
-    return docs.withColumn("_hits", hits).filter("size(_hits) = 0").drop("_hits")
+    held = spare(docs, "_hits")[0]
+    return docs.withColumn(held, hits).filter(F.size(held) == 0).drop(held)

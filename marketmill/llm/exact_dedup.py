@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.llm.common import SPACES, stored, whole_text
+from marketmill.llm.common import SPACES, spare, stored, whole_text
 
 BITMAP_BITS = 22
 PREFIX_CHARACTERS = 64
@@ -41,12 +41,13 @@ def _place(*columns: str) -> Column:
 
 def marked(rows: DataFrame, bits: DataFrame, flag: str, *columns: str) -> DataFrame:
     """`rows` with `flag`: whether the bit of their key is set. `bits` has a fixed bound."""
-    placed = rows.withColumn("_place", _place(*columns))
-    placed = placed.withColumn("_word", _word(F.col("_place")))
-    joined = placed.join(F.broadcast(bits.toDF("_word", "_mask")), "_word", "left")
-    is_set = F.expr("(shiftrightunsigned(_mask, CAST(_place & 63 AS INT)) & 1L) = 1L")
+    place, word, mask = spare(rows, "_place", "_word", "_mask")
+    placed = rows.withColumn(place, _place(*columns))
+    placed = placed.withColumn(word, _word(F.col(place)))
+    joined = placed.join(F.broadcast(bits.toDF(word, mask)), word, "left")
+    is_set = F.expr(f"(shiftrightunsigned({mask}, CAST({place} & 63 AS INT)) & 1L) = 1L")
     found = joined.withColumn(flag, F.coalesce(is_set, F.lit(False)))
-    return found.drop("_place", "_word", "_mask")
+    return found.drop(place, word, mask)
 
 
 def exact_groups(

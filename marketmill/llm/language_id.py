@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marketmill.llm.common import remainder, stored, whole_text
+from marketmill.llm.common import remainder, spare, stored, whole_text
 from marketmill.llm.ngrams import (
     NGrams,
     document_frequencies,
@@ -149,17 +149,18 @@ def identified(docs: DataFrame, model: LanguageModel | None, text: str = "text")
         whole_text(text), GRAMS, weights, lambda logits: softmax((logits + bias) / temperature)
     )
     names = F.array(*[F.lit(language) for language in model.languages])
-    found = docs.withColumn("_chances", chances)
-    best = F.array_max("_chances")
+    held = spare(docs, "_chances")[0]
+    found = docs.withColumn(held, chances)
+    best = F.array_max(held)
     letter = has_letter(text)
     return found.withColumns(
         {
             "lang_pred": F.when(
-                letter, F.element_at(names, F.array_position("_chances", best).cast("int"))
+                letter, F.element_at(names, F.array_position(held, best).cast("int"))
             ).otherwise(F.lit(UNKNOWN)),
             "score": F.when(letter, best).otherwise(F.lit(0.0)),
         }
-    ).drop("_chances")
+    ).drop(held)
 
 
 def held_out(id_col: str, divisor: int, left: int) -> Column:
@@ -182,8 +183,11 @@ def in_known_language(
     docs: DataFrame, least_score: float = 0.3, text: str = "text", lang: str = "lang"
 ) -> DataFrame:
     """The rows whose language is told with `least_score` or more; columns unchanged."""
-    shape = docs.columns
-    marked = docs.withColumn("_keep_lang", F.lit(True))
-    found = identify(marked, text=text, lang=lang)
+    looked_at = [F.col(f"`{name}`") for name in ("doc_id", text, lang)]
+    rows = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+        *(c.alias(name) for c, name in zip(looked_at, ("id", "text", "lang"), strict=True)),
+    )
+    found = identify(rows, "id", "text", "lang")
     kept = found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
-    return kept.select(*[f"`{name}`" for name in shape])
+    return kept.select("row.*")

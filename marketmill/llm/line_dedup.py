@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.llm.common import ShardCache, bytes_of, open_store, stored, whole_text, written
+from marketmill.llm.common import ShardCache, bytes_of, open_store, spare, stored, whole_text, written
 
 SPACE_BYTES = b" \t\n\x0b\x0c\r"
 SHARD_KEYS = 500_000
@@ -227,14 +227,15 @@ def drop_common_lines(
             yield kept_lines(list(bytes_of(column)), index, min_documents, least_characters)
 
     kept_udf = F.arrow_udf(kept, RESULT)
-    found = docs.withColumn("_kept", kept_udf(whole_text(text_col)))
+    held = spare(docs, "_kept")[0]
+    found = docs.withColumn(held, kept_udf(whole_text(text_col)))
     return found.withColumns(
         {
-            text_col: F.col("_kept.text"),
-            "n_lines": F.col("_kept.n_lines"),
-            "n_dropped": F.col("_kept.n_dropped"),
+            text_col: F.col(f"{held}.text"),
+            "n_lines": F.col(f"{held}.n_lines"),
+            "n_dropped": F.col(f"{held}.n_dropped"),
         }
-    ).drop("_kept")
+    ).drop(held)
 
 
 def kept_lines(

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.llm.common import stored, whole_text
+from marketmill.llm.common import spare, stored, whole_text
 
 CAPACITY = 4096
 END = 1  # the id that closes a document
@@ -257,30 +257,32 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     mixed = F.pmod(F.xxhash64(*columns), F.lit(partitions)).cast("int")
     # Adjacent numbers for equal rows: many copies of one row spread like different rows.
     spread = F.pmod(mixed + F.monotonically_increasing_id(), F.lit(partitions)).cast("int")
-    dealt = items.withColumn("_part", spread)
+    part_, fill_, rises_, home, shift = spare(items, "_part", "_fill", "_rises", "_home", "_shift")
+    dealt = items.withColumn(part_, spread)
 
     def leaf(rows: pd.DataFrame) -> pd.DataFrame:
         bins, offsets, fill = best_fit(rows["length"].to_numpy(np.int64), capacity)
         fills = np.array(fill, dtype=np.int64)
-        part = int(rows["_part"].iloc[0])
+        part = int(rows[part_].iloc[0])
         rows["sequence_id"] = (part << 32) + bins
         rows["offset"] = offsets
-        rows["_fill"] = fills[bins]
-        rows["_rises"] = rising(fills, capacity, partitions)[bins]
-        return rows.drop(columns="_part")
+        rows[fill_] = fills[bins]
+        rows[rises_] = rising(fills, capacity, partitions)[bins]
+        return rows.drop(columns=part_)
 
     schema = items.schema.add("sequence_id", "long").add("offset", "long")
-    schema = schema.add("_fill", "long").add("_rises", "boolean")
-    packed = stored(dealt.groupBy("_part").applyInPandas(leaf, schema), "packed")
-    level = packed.filter("_rises").select("sequence_id", F.col("_fill").alias("fill")).distinct()
+    schema = schema.add(fill_, "long").add(rises_, "boolean")
+    packed = stored(dealt.groupBy(part_).applyInPandas(leaf, schema), "packed")
+    risen = packed.filter(F.col(rises_))
+    level = risen.select("sequence_id", F.col(fill_).alias("fill")).distinct()
     level = level.withColumns({"node": F.shiftright("sequence_id", 32), "home": F.col("sequence_id"),
                                "shift": F.lit(0).cast("long"), "rises": F.lit(True)})
-    moved = merged(level, partitions, capacity)
+    moved = merged(level, partitions, capacity).toDF("sequence_id", home, shift)
     placed = packed.join(moved, "sequence_id", "left")
     return placed.withColumns(
         {
-            "sequence_id": F.coalesce("home", "sequence_id"),
-            "offset": F.col("offset") + F.coalesce("shift", F.lit(0)),
+            "sequence_id": F.coalesce(home, "sequence_id"),
+            "offset": F.col("offset") + F.coalesce(shift, F.lit(0)),
         }
     ).select(*columns, "sequence_id", "offset")
 

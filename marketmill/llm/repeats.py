@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.llm.common import LAST_ID, bytes_of, open_store, row_key, stored, whole_text, written
+from marketmill.llm.common import LAST_ID, bytes_of, open_store, row_key, spare, stored, whole_text, written
 from marketmill.llm.words import sliding_minimum
 
 BITMAP_BITS = 27  # 16 MB, in each worker
@@ -281,13 +281,16 @@ def document_id(id_col: str) -> Column:
     return F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST_ID))
 
 
-def with_ranges(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """`docs` with `_ranges`, null where nothing was found."""
-    keyed = docs.withColumns({"_id": document_id(id_col), "_row": row_key(text_col)})
+def with_ranges(
+    docs: DataFrame, found: DataFrame, id_col: str, text_col: str, ranges: str
+) -> DataFrame:
+    """`docs` with `ranges`, null where nothing was found."""
+    number, row = spare(docs, "_id", "_row")
+    keyed = docs.withColumns({number: document_id(id_col), row: row_key(text_col)})
     named = found.select(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("ranges").alias("_ranges")
+        F.col("doc_id").alias(number), F.col("row").alias(row), F.col("ranges").alias(ranges)
     )
-    return keyed.join(named, ["_id", "_row"], "left").drop("_id", "_row")
+    return keyed.join(named, [number, row], "left").drop(number, row)
 
 
 def covered(count: int, ranges: pa.Scalar) -> np.ndarray:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.llm.common import bytes_of, node_id, row_key, shown_id, stored, whole_text
+from marketmill.llm.common import bytes_of, node_id, row_key, shown_id, spare, stored, whole_text
 from marketmill.llm.components import components
 from marketmill.llm.exact_dedup import bitmap, marked
 
@@ -495,7 +495,7 @@ def similar_documents(
     run: int = 5,
     least: float = 0.8,
 ) -> DataFrame:
-    """doc_id, row, component: near-duplicates by SimHash, verified on runs of words.
+    """doc_id, row, component, first_row: near-duplicates by SimHash, verified on runs of words.
 
     Fingerprints of 256 bits of the sets of runs, each run once, make families within
     `radius`, but for those whose numbers of runs differ too much to share `least`. Without
@@ -504,7 +504,7 @@ def similar_documents(
     `least` or more of both (a text of fewer words is one run);
     `component` is the smallest id reachable by such links. `least` is above 0. Ids and
     nulls as in `near_duplicates`, a null id as a number from 2**62 on. `row` tells rows
-    apart that share an id.
+    apart that share an id, `first_row` is that of the component's first row.
     """
     found = stored(
         docs.select(
@@ -543,10 +543,14 @@ def similar_documents(
     )
     sets = stored(sets.dropDuplicates(["node"]), "run-sets")
     linked = labelled(classes.select("node", "s1", "s2"), verified_links(sets, least))
-    least_ids = classes.select(F.col("node").alias("component"), F.col("doc_id").alias("id"))
-    by_class = linked.join(least_ids, "component").select("s1", "s2", F.col("id").alias("component"))
+    least_ids = classes.select(
+        F.col("node").alias("component"), F.col("doc_id").alias("id"), F.col("row").alias("first_row")
+    )
+    by_class = linked.join(least_ids, "component").select(
+        "s1", "s2", F.col("id").alias("component"), "first_row"
+    )
     joined = found.join(by_class, ["s1", "s2"])
-    return joined.select("doc_id", "row", "component")
+    return joined.select("doc_id", "row", "component", "first_row")
 
 
 def one_of_each(
@@ -557,17 +561,26 @@ def one_of_each(
     run: int = 5,
     least: float = 0.8,
 ) -> DataFrame:
-    """`docs` without its near-duplicates: of each component the smallest id stays.
+    """`docs` without its near-duplicates: one row of each component stays, of the smallest id.
 
-    See `similar_documents`. Rows that repeat the smallest id all stay; rows without an id
-    stay if nothing similar has one. Columns are unchanged.
+    See `similar_documents`. Of rows that repeat that id one stays, and so does one of rows
+    without an id if nothing similar has one. Columns are unchanged.
     """
     found = similar_documents(docs, id_col, text_col, radius, run, least)
-    gone = found.filter("doc_id <> component").select("doc_id", "row").distinct()
-    gone = stored(gone.toDF("_node", "_row"), "near-copies")
-    keyed = docs.withColumns({"_node": node_id(id_col, text_col), "_row": row_key(text_col)})
-    # Rows whose bit is not set are none of those that go, and need no shuffle.
-    flagged = marked(keyed, bitmap(gone, "_node", "_row"), "_likely", "_node", "_row")
-    left = flagged.filter("_likely").join(gone, ["_node", "_row"], "left_anti")
+    keeps = (F.col("doc_id") == F.col("component")) & (F.col("row") == F.col("first_row"))
+    node, row, likely = spare(docs, "_node", "_row", "_likely")
+    each = found.groupBy("doc_id", "row").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(keeps).alias("keeps")
+    )
+    told = each.filter("NOT keeps OR n > 1").select(
+        F.col("doc_id").alias(node), F.col("row").alias(row), "keeps"
+    )
+    told = stored(told, "near-copies")
+    gone = told.filter("NOT keeps").drop("keeps")
+    keyed = docs.withColumns({node: node_id(id_col, text_col), row: row_key(text_col)})
+    # Rows whose bit is not set are alone, and need no shuffle.
+    flagged = marked(keyed, bitmap(told, node, row), likely, node, row)
+    left = flagged.filter(F.col(likely)).join(gone, [node, row], "left_anti")
+    left = left.dropDuplicates([node, row])
     columns = [f"`{name}`" for name in docs.columns]
-    return flagged.filter("NOT _likely").select(*columns).unionByName(left.select(*columns))
+    return flagged.filter(~F.col(likely)).select(*columns).unionByName(left.select(*columns))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.llm.common import bytes_of, stored, whole_text
+from marketmill.llm.common import bytes_of, spare, stored, whole_text
 from marketmill.llm.fm_index import FMIndex
 from marketmill.llm.repeats import Units, covered, ranges_of, removed_units, with_ranges
 from marketmill.llm.words import run_hashes, word_hashes
@@ -146,15 +146,16 @@ def drop_repeated_words(
                 names=["text", "n_words", "n_removed"],
             )
 
-    joined = with_ranges(docs, found, id_col, text_col)
-    cut = F.arrow_udf(kept, KEPT)(whole_text(text_col), F.col("_ranges"))
-    return joined.withColumn("_kept", cut).withColumns(
+    ranges, held = spare(docs, "_ranges", "_kept")
+    joined = with_ranges(docs, found, id_col, text_col, ranges)
+    cut = F.arrow_udf(kept, KEPT)(whole_text(text_col), F.col(ranges))
+    return joined.withColumn(held, cut).withColumns(
         {
-            text_col: F.col("_kept.text"),
-            "n_words": F.col("_kept.n_words"),
-            "n_removed": F.col("_kept.n_removed"),
+            text_col: F.col(f"{held}.text"),
+            "n_words": F.col(f"{held}.n_words"),
+            "n_removed": F.col(f"{held}.n_removed"),
         }
-    ).drop("_kept", "_ranges")
+    ).drop(held, ranges)
 
 
 def kept_words(text: bytes, ranges: pa.Scalar) -> tuple[bytes, int, int]:

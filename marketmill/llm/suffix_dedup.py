@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketmill.llm.common import bytes_of, stored, whole_text
+from marketmill.llm.common import bytes_of, spare, stored, whole_text
 from marketmill.llm.repeats import (
     RANGES,
     SLICE_UNITS,
@@ -183,11 +183,12 @@ def drop_repeated_bytes(
                 names=["body", "n_bytes", "n_removed", "n_spans"],
             )
 
-    joined = with_ranges(docs, found, id_col, text_col)
-    cut = F.arrow_udf(kept, KEPT)(whole_text(text_col), F.col("_ranges"))
+    ranges, held = spare(docs, "_ranges", "_kept")
+    joined = with_ranges(docs, found, id_col, text_col, ranges)
+    cut = F.arrow_udf(kept, KEPT)(whole_text(text_col), F.col(ranges))
     names = ("body", "n_bytes", "n_removed", "n_spans")
-    added = {name: F.col(f"_kept.{name}") for name in names}
-    return joined.withColumn("_kept", cut).withColumns(added).drop("_kept", "_ranges")
+    added = {name: F.col(f"{held}.{name}") for name in names}
+    return joined.withColumn(held, cut).withColumns(added).drop(held, ranges)
 
 
 def kept_bytes(text: bytes, ranges: pa.Scalar) -> tuple[bytes, int, int, int]:

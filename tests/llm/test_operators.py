@@ -263,6 +263,15 @@ def test_texts_that_share_an_id_are_judged_one_by_one(spark):
     assert left == {rows[0], rows[2], rows[4]}
 
 
+def test_one_of_repeated_rows_stays(spark):
+    text = " ".join(f"w{n}" for n in range(30))
+    rows = [(1, text, k) for k in range(5)] + [(None, "without an id and alone", k) for k in range(5)]
+    rows += [(2, "own words of the second", 0), (2, "own words of the  second", 1), (None, text, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, k int").repartition(3)
+    left = [(row["doc_id"], row["text"].split()[0]) for row in simhash.one_of_each(docs).collect()]
+    assert sorted(left, key=str) == [(1, "w0"), (2, "own"), (None, "without")]
+
+
 def test_sizes_that_may_link_are_in_adjacent_bands(spark):
     sizes = spark.range(0, 3000).select(
         simhash.band_of(F.col("id"), 0.8).alias("small"),

@@ -85,7 +85,7 @@ def main(arguments: list[str] | None = None) -> dict:
             }
         elif job == "index":
             reports[job] = index_catalog(
-                warehouse, given.manifests, embed, now, size=given.dimensions
+                warehouse, given.manifests, embed, now, size=given.dimensions, model=given.embedder
             )
         else:
             reports[job] = ask(warehouse, given.question, embed or hashed_words, given.hits)

@@ -26,7 +26,8 @@ from marketmill.operators.descriptions import (
     exploded_nodes,
     models_only,
 )
-from marketmill.operators.embed import embedded, hashed_words
+from marketmill.operators.embed import DIMENSIONS, embedded, hashed_words
+from marketmill.operators.lists import VectorLists
 from marketmill.operators.nearest import build_lists, nearest_for_each, nearest_in_lists
 from marketmill.operators.upsert import upsert
 from marketmill.plans import training
@@ -48,6 +49,7 @@ from marketmill.sources.csv_files import (
     source_root,
 )
 from marketmill.sources.manifests import read_manifests
+from marketmill.sources.parted import KeyedTable
 from marketmill.sources.tables import as_views
 
 RUN_AT = datetime(2024, 6, 1, 12, 0, 0)
@@ -372,15 +374,36 @@ def join_in_subquery(given: Given) -> DataFrame:
 # vectors
 
 
-def as_json(df: DataFrame) -> DataFrame:
-    """Vectors shown as text."""
-    return df.withColumn("embedding", F.to_json("embedding"))
+def word_figures(df: DataFrame, text: str) -> DataFrame:
+    """What another engine can tell of hashed words: their size, their length, and that no
+    more places are used than there are different words."""
+    words = F.array_distinct(F.split(F.lower(text), r"\s"))
+    used = F.size(F.filter("embedding", lambda x: x != 0))
+    squares = F.aggregate("embedding", F.lit(0.0), lambda total, x: total + x * x)
+    return df.select(
+        *(name for name in df.columns if name not in ("embedding", text)),
+        F.size("embedding").alias("dimensions"),
+        F.round(F.sqrt(squares), 3).alias("norm"),
+        F.size(words).cast("bigint").alias("words"),
+        used.between(1, F.size(words)).alias("places_fit"),
+    )
+
 
+def word_figures_sql(columns: str, text: str, source: str) -> str:
+    """The same figures; the last must hold for every text."""
+    words = f"list_distinct(string_split_regex(lower({text}), '[ \\t\\n\\x0B\\f\\r]'))"
+    return f"""SELECT {columns}, {DIMENSIONS} AS dimensions, 1.0::DOUBLE AS norm,
+                      len({words})::BIGINT AS words, len({words}) > 0 AS places_fit
+               FROM {source}"""
 
-@check("embed_batch")
+
+@check(
+    "embed_batch",
+    word_figures_sql("source, model_name, column_name", "description", f"({CATALOG_SQL})"),
+)
 def embed_batch(given: Given) -> DataFrame:
     rows = catalog_rows(manifests(given.spark, given.sf_dir))
-    return as_json(hashed_words(rows))
+    return word_figures(hashed_words(rows), "description")
 
 
 @check(
@@ -398,13 +421,15 @@ def embed_batch_external(given: Given) -> DataFrame:
     )
 
 
-@check("embed_query")
+@check(
+    "embed_query",
+    word_figures_sql("conv_id, turn, role", "text", "conversations WHERE text IS NOT NULL"),
+)
 def embed_query(given: Given) -> DataFrame:
-    """The questions of all conversations as vectors."""
-    asked = given.table("conversations").where(F.col("role") == "user")
-    return as_json(
-        hashed_words(asked, text="text").select("conv_id", "turn", "embedding")
-    )
+    """The texts of all conversations as vectors."""
+    asked = given.table("conversations").where("text IS NOT NULL")
+    vectors = hashed_words(asked, text="text")
+    return word_figures(vectors.select("conv_id", "turn", "role", "text", "embedding"), "text")
 
 
 TOP_SQL = """
@@ -484,6 +509,71 @@ def vector_ivf(given: Given) -> DataFrame:
     )
 
 
+@check(
+    "vector_lists",
+    f"SELECT question_id, rank, similarity, id FROM ({HITS_SQL})",
+)
+def vector_lists(given: Given) -> DataFrame:
+    """Lists fitted to half of the vectors; the others and changed ones come later."""
+    rows = vector_catalog(given.spark, given.sf_dir)
+    later = (F.col("id") % 2 == 1) | (F.col("id") % 10 == 0)
+    stale = F.when(F.col("id") % 10 == 0, F.transform("embedding", lambda x: -x)).otherwise(F.col("embedding"))
+    index = VectorLists(given.warehouse("lists"), "search", "vectors", rows.schema)
+    index.build(rows.where("id % 2 = 0").withColumn("embedding", stale))
+    index.upsert(rows.where(later), [F.col("description")])
+    hits = index.nearest_for_each(first_vectors(given.spark, given.sf_dir), len(index.centers()))
+    return hits.select(
+        "question_id",
+        F.col("rank").cast("bigint").alias("rank"),
+        F.round("similarity", 6).alias("similarity"),
+        "id",
+    )
+
+
+@check(
+    "vector_recall",
+    """SELECT id AS question_id, least(5, (SELECT count(*) FROM lengths)) AS wanted,
+              least(5, (SELECT count(*) FROM lengths)) AS found_in_all, true AS more_find_more,
+              true AS itself_in_one
+       FROM lengths WHERE id % 20 = 0""",
+)
+def vector_recall(given: Given) -> DataFrame:
+    """A set of vectors as questions against all: exact hits found by 1, 3 and all lists.
+
+    Its own list holds a vector, so the closest list alone finds at least that.
+    """
+    rows = vector_catalog(given.spark, given.sf_dir)
+    index = VectorLists(given.warehouse("recall"), "search", "vectors", rows.schema)
+    index.build(rows)
+    every = len(index.centers())
+    asked = rows.where("id % 20 = 0").select(F.col("id").alias("question_id"), "embedding")
+    recalled = index.recall(asked, [1, 3, every]).groupBy("question_id")
+    found = recalled.pivot("probes", [1, 3, every]).sum("found")
+    one, three, whole = (F.col(str(n)) for n in (1, 3, every))
+    total = rows.count()
+    return found.select(
+        "question_id",
+        F.lit(min(5, total)).cast("bigint").alias("wanted"),
+        whole.alias("found_in_all"),
+        ((one <= three) & (three <= whole)).alias("more_find_more"),
+        (one >= 1).alias("itself_in_one"),
+    )
+
+
+@check("upsert_bucketed", UPSERT_SQL)
+def upsert_bucketed(given: Given) -> DataFrame:
+    """The same update, of a table in key buckets."""
+    rows = event_catalog(given.spark, given.sf_dir)
+    table = KeyedTable(given.warehouse("buckets"), "catalog", "events", rows.schema, catalog_keys(), buckets=32)
+    table.replace(deduplicated(rows.where(is_old())))
+    table.upsert(
+        rows.where(~is_old()),
+        ("description", "updated_at"),
+        [F.col("updated_at").desc(), F.col("id").desc()],
+    )
+    return table.read()
+
+
 @check(
     "catalog_index",
     f"""SELECT source, model_name, column_name, description,
@@ -551,26 +641,85 @@ def trained(given: Given, name: str, experiment: training.Experiment) -> trainin
     return training.train(given.stored(given.mart(name)), experiment)
 
 
-@check("ml_fit")
+VARYING_SQL = " UNION ALL ".join(
+    f"SELECT '{name}' AS feature, count(DISTINCT {name}) > 1 AS varies FROM mart_customer_orders"
+    for name in training.CUSTOMERS.features
+)
+
+
+@check(
+    "ml_fit",
+    f"SELECT feature, varies, true AS share, 1.0::DOUBLE AS total FROM ({VARYING_SQL})",
+)
 def ml_fit(given: Given) -> DataFrame:
-    """Weight of each feature in the fitted forest."""
-    run = trained(given, "mart_customer_orders", training.CUSTOMERS)
+    """Weights of the features in the fitted forest: shares of one, none for a constant."""
+    mart = given.stored(given.mart("mart_customer_orders"))
+    run = training.train(mart, training.CUSTOMERS)
     weights = run.model.featureImportances.toArray().tolist()
-    rows = list(zip(training.CUSTOMERS.features, weights, strict=True))
-    return given.spark.createDataFrame(rows, "feature string, importance double")
+    names = training.CUSTOMERS.features
+    distinct = mart.select(*(F.count_distinct(name) for name in names)).first()
+    rows = [
+        (name, n > 1, 0 <= weight <= (1 if n > 1 else 0), round(sum(weights), 9))
+        for name, n, weight in zip(names, distinct, weights, strict=True)
+    ]
+    return given.spark.createDataFrame(
+        rows, "feature string, varies boolean, share boolean, total double"
+    )
 
 
-@check("ml_predict")
+TEST_SQL = """
+    SELECT customer_unique_id, CAST(lifetime_value AS DOUBLE) AS lifetime_value FROM (
+        SELECT customer_unique_id, lifetime_value,
+               row_number() OVER (ORDER BY md5(customer_unique_id || '|42'), customer_unique_id)
+                   <= CAST(ceil((SELECT count(*) FROM mart_olist_customer_orders) * 0.2) AS BIGINT)
+                   AS is_test
+        FROM mart_olist_customer_orders) WHERE is_test"""
+
+
+@check(
+    "ml_predict",
+    f"SELECT customer_unique_id, lifetime_value, true AS within FROM ({TEST_SQL})",
+)
 def ml_predict(given: Given) -> DataFrame:
-    run = trained(given, "mart_olist_customer_orders", training.MARKETPLACE)
-    return run.predictions.select("customer_unique_id", "lifetime_value", "prediction")
+    """The customers of the test part; a forest's predictions are means of training values,
+    so they lie between the least and the largest of those."""
+    mart = given.stored(given.mart("mart_olist_customer_orders"))
+    run = training.train(mart, training.MARKETPLACE)
+    rows = training.split(training.training_rows(mart, training.MARKETPLACE), training.MARKETPLACE)
+    target = F.col("lifetime_value").cast("double")
+    bounds = rows.where("NOT is_test").select(F.min(target).alias("least"), F.max(target).alias("most"))
+    least, most = bounds.first()
+    slack = 1e-9 * max(abs(least), abs(most))
+    within = F.col("prediction").between(least - slack, most + slack)
+    return run.predictions.select(
+        "customer_unique_id", target.alias("lifetime_value"), within.alias("within")
+    )
 
 
-@check("ml_metrics")
+@check(
+    "ml_metrics",
+    """SELECT unnest(['mae', 'r2']) AS metric, n - ceil(n * 0.2) AS train_rows,
+              ceil(n * 0.2) AS test_rows, 0.0::DOUBLE AS apart
+       FROM (SELECT CAST(count(*) AS DOUBLE) AS n FROM mart_olist_customer_orders)""",
+)
 def ml_metrics(given: Given) -> DataFrame:
+    """Errors of the test part, recomputed from the predictions by hand."""
     run = trained(given, "mart_olist_customer_orders", training.MARKETPLACE)
+    truth = F.col("lifetime_value").cast("double")
+    shown = run.predictions.select(truth.alias("t"), F.col("prediction").alias("p"))
+    mae, squares, mean, squared, n = shown.select(
+        F.avg(F.abs(F.col("t") - F.col("p"))), F.sum((F.col("t") - F.col("p")) ** 2),
+        F.avg("t"), F.sum(F.col("t") * F.col("t")), F.count("*"),
+    ).first()
+    spread = squared - n * mean * mean
+    known = run.metrics
+    r2 = 1 - squares / spread if spread else known["r2"]
+    rows = [
+        (name, known["train_rows"], known["test_rows"], abs(round(known[name] - found, 6)))
+        for name, found in (("mae", mae), ("r2", r2))
+    ]
     return given.spark.createDataFrame(
-        sorted(run.metrics.items()), "metric string, value double"
+        rows, "metric string, train_rows double, test_rows double, apart double"
     )
 
 
@@ -594,9 +743,13 @@ def run_record_sink(given: Given) -> DataFrame:
     )
 
 
-@check("model_save")
+@check(
+    "model_save",
+    """SELECT customer_id, CAST(lifetime_value AS DOUBLE) AS lifetime_value, true AS as_fitted
+       FROM mart_customer_orders""",
+)
 def model_save(given: Given) -> DataFrame:
-    """Customers scored by a model that was stored and loaded again."""
+    """Customers scored by a model that was stored and loaded again, beside the one fitted."""
     from pyspark.ml.regression import RandomForestRegressionModel
 
     warehouse = given.warehouse("models")
@@ -606,8 +759,14 @@ def model_save(given: Given) -> DataFrame:
     rows = training.with_features(
         training.training_rows(mart, training.CUSTOMERS), training.CUSTOMERS
     )
-    return RandomForestRegressionModel.load(path).transform(rows).select(
-        "customer_id", "lifetime_value", "prediction"
+    loaded = RandomForestRegressionModel.load(path)
+    both = loaded.setPredictionCol("loaded").transform(
+        run.model.setPredictionCol("fitted").transform(rows)
+    )
+    return both.select(
+        "customer_id",
+        F.col("lifetime_value").cast("double").alias("lifetime_value"),
+        (F.col("loaded") == F.col("fitted")).alias("as_fitted"),
     )
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marketmill.functions.vectors import checked_vector
@@ -27,6 +28,10 @@ CATALOG_SCHEMA = (
 )
 UPDATED = ("description", "embedding", "updated_at")
 
+TEXTS_TABLE = "embedded_texts"
+TEXTS_SCHEMA = "model string, digest string, embedding array<float>"
+TEXTS_PER_RUN = 1_000_000  # embedded and stored at a time: what a run that is cut off loses
+
 Embed = Callable[[DataFrame], DataFrame]
 
 
@@ -80,6 +85,49 @@ def unique_catalog(warehouse: Warehouse) -> DataFrame:
     return warehouse.read(CATALOG_NAMESPACE, CATALOG_TABLE)
 
 
+def known_texts(warehouse: Warehouse, model: str) -> DataFrame:
+    """digest, embedding: the texts that `model` has embedded, ever."""
+    warehouse.create_namespace(CATALOG_NAMESPACE)
+    if not warehouse.exists(CATALOG_NAMESPACE, TEXTS_TABLE):
+        empty = warehouse.spark.createDataFrame([], TEXTS_SCHEMA)
+        warehouse.replace(empty, CATALOG_NAMESPACE, TEXTS_TABLE)
+    stored = warehouse.read(CATALOG_NAMESPACE, TEXTS_TABLE)
+    return stored.where(F.col("model") == model).select("digest", "embedding")
+
+
+def embedded_by_digest(
+    warehouse: Warehouse,
+    rows: DataFrame,
+    embed: Embed,
+    model: str,
+    size: int = DIMENSIONS,
+    texts_per_run: int = TEXTS_PER_RUN,
+) -> DataFrame:
+    """`rows` with `embedding`, by the SHA-256 of `description`.
+
+    Each different text is embedded once for a `model`: what is stored is not embedded
+    again, and the texts that are missing go to the store in runs of about `texts_per_run`,
+    so a job that is cut off goes on behind its last whole run. The embedder gets `digest`
+    and `description`.
+    """
+    spark = warehouse.spark
+    keyed = rows.withColumn("digest", F.sha2(F.coalesce("description", F.lit("")).cast("binary"), 256))
+    texts = keyed.groupBy("digest").agg(F.first("description").alias("description"))
+    missing = texts.join(known_texts(warehouse, model).select("digest"), "digest", "left_anti")
+    path = scratch_path(spark, "missing-texts")
+    counted = Observation()
+    missing.observe(counted, F.count(F.lit(1)).alias("texts")).write.parquet(path)
+    runs = math.ceil(counted.get["texts"] / texts_per_run)
+    for run in range(runs):
+        dealt = F.pmod(F.xxhash64("digest"), F.lit(runs)) == run
+        vectors = embed(spark.read.parquet(path).where(dealt)).select(
+            F.lit(model).alias("model"), "digest", checked_vector("embedding", size).alias("embedding")
+        )
+        warehouse.append(vectors, CATALOG_NAMESPACE, TEXTS_TABLE)
+    found = keyed.join(known_texts(warehouse, model), "digest").drop("digest")
+    return found.withColumn("embedding", checked_vector("embedding", size))
+
+
 def index_catalog(
     warehouse: Warehouse,
     manifests: str,
@@ -87,14 +135,15 @@ def index_catalog(
     run_at: datetime,
     multi_line: bool = True,
     size: int = DIMENSIONS,
+    model: str = "default",
 ) -> dict[str, int]:
     """Read the documents, embed their descriptions and bring the catalog up to date.
 
     Returns `{"stored": n, "skipped": m}`: without an embedder nothing is stored and
-    all rows are counted as skipped. Embedded rows are written before the update
-    reads them more than once, so no text is embedded a second time. Of descriptions
-    of one key the last one wins, by file and by place in the file. A vector of
-    another `size` fails the run.
+    all rows are counted as skipped. Texts that `model` (a name for the embedder) has
+    embedded in an earlier run, also in one that was cut off, are not embedded again. Of
+    descriptions of one key the last one wins, by file and by place in the file. A vector
+    of another `size` fails the run.
     """
     spark = warehouse.spark
     rows = ordered_catalog_rows(read_manifests(spark, manifests, multi_line))
@@ -103,9 +152,8 @@ def index_catalog(
     catalog = unique_catalog(warehouse)
     path = scratch_path(spark, "embedded")
     now = F.lit(run_at.isoformat(sep=" ")).cast("timestamp")
-    embed(rows).withColumns(
-        {"embedding": checked_vector("embedding", size), "updated_at": now}
-    ).write.parquet(path)
+    found = embedded_by_digest(warehouse, rows, embed, model, size)
+    found.withColumn("updated_at", now).write.parquet(path)
     batch = spark.read.parquet(path)
     changed = upserted(catalog, batch, [F.col("manifest").desc(), F.col("position").desc()])
     warehouse.replace(changed, CATALOG_NAMESPACE, CATALOG_TABLE)

@@ -21,6 +21,7 @@ from marketmill.plans.catalog import (
     CATALOG_SCHEMA,
     context,
     deduplicated,
+    embedded_by_digest,
     ensure_catalog,
     index_catalog,
     retrieve,
@@ -292,3 +293,62 @@ def test_outside_embedder_must_answer_in_full(spark):
     df = spark.range(3).coalesce(1).selectExpr("concat('t', id) AS description")
     with pytest.raises(Exception, match="one vector per text"):
         embedded(df, lambda texts: [[1.0]]).collect()
+
+
+class Counting:
+    """An embedder that notes the texts it is given, and fails in one of its runs."""
+
+    def __init__(self, fails_in=None):
+        self.seen = []
+        self.fails_in = fails_in
+
+    def __call__(self, rows):
+        if self.fails_in == len(self.seen):
+            raise ConnectionError("cut off")
+        self.seen.append(sorted(row["description"] for row in rows.select("description").collect()))
+        return hashed_words(rows)
+
+
+def described(spark, count, changed=()):
+    return spark.createDataFrame(
+        [(f"m{i}", f"text {i % 30}{' new' if i in changed else ''}") for i in range(count)],
+        "model_name string, description string",
+    )
+
+
+def test_known_texts_are_not_embedded_again(spark, warehouse):
+    first = Counting()
+    found = embedded_by_digest(warehouse, described(spark, 40), first, "words").collect()
+    assert len(found) == 40 and len(first.seen) == 1 and len(first.seen[0]) == 30
+    again = Counting()
+    same = embedded_by_digest(warehouse, described(spark, 40), again, "words").collect()
+    assert again.seen == [] and sorted(map(str, same)) == sorted(map(str, found))
+    embedded_by_digest(warehouse, described(spark, 40, {3, 5}), again, "words").collect()
+    assert again.seen == [["text 3 new", "text 5 new"]]
+    other = Counting()
+    embedded_by_digest(warehouse, described(spark, 40), other, "another embedder").collect()
+    assert len(other.seen) == 1
+    with pytest.raises(Exception, match="expected 32 dimensions"):
+        embedded_by_digest(warehouse, described(spark, 40), again, "words", size=32).collect()
+
+
+def test_a_run_that_was_cut_off_goes_on(spark, warehouse):
+    cut = Counting(fails_in=2)
+    with pytest.raises(ConnectionError):
+        embedded_by_digest(warehouse, described(spark, 30), cut, "words", texts_per_run=8)
+    rest = Counting()
+    found = embedded_by_digest(warehouse, described(spark, 30), rest, "words", texts_per_run=100)
+    assert found.count() == 30
+    texts = [text for seen in (*cut.seen, *rest.seen) for text in seen]
+    assert len(cut.seen) == 2 and sorted(texts) == sorted({f"text {i}" for i in range(30)})
+
+
+def test_indexing_twice_embeds_once(spark, warehouse, tmp_path):
+    path = documents(tmp_path / "m", DOCUMENT)
+    first, second = Counting(), Counting()
+    one = index_catalog(warehouse, path, first, RUN_AT)
+    assert index_catalog(warehouse, path, second, RUN_AT) == one
+    assert len(first.seen) == 1 and second.seen == []
+    missing = Counting()
+    rows = embedded_by_digest(warehouse, described(spark, 1).limit(0), missing, "default")
+    assert rows.count() == 0 and missing.seen == []

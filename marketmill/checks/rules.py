@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketmill.checks.damage import PREFIX, damaged
 from marketmill.checks.inputs import Given, event_catalog, manifests
 from marketmill.checks.models import MODEL_SQL
 from marketmill.checks.registry import check
@@ -23,7 +24,7 @@ from marketmill.operators.latest import latest_per_key
 from marketmill.operators.upsert import without
 from marketmill.plans.build import MART_NAMESPACES
 from marketmill.plans.marts import customer_orders_masked
-from marketmill.plans.quality_suite import suite, tests_of
+from marketmill.plans.quality_suite import NOT_NULL, suite, tests_of
 from marketmill.plans.roles import all_tables, role_view
 from marketmill.sources.tables import Warehouse
 
@@ -32,11 +33,16 @@ from marketmill.sources.tables import Warehouse
 
 @check(
     "filter_cross_column",
-    """SELECT customer_id, total_orders, completed_orders, cancelled_orders
-       FROM mart_customer_orders WHERE NOT (completed_orders + cancelled_orders > total_orders)""",
+    """SELECT customer_id, CAST(total_orders AS DOUBLE) AS total_orders,
+              CAST(completed_orders AS DOUBLE) AS completed_orders,
+              CAST(cancelled_orders AS DOUBLE) AS cancelled_orders
+       FROM damaged_mart_customer_orders
+       WHERE NOT (completed_orders + cancelled_orders > total_orders)""",
+    gaps=("total_orders", "completed_orders", "cancelled_orders"),
 )
 def filter_cross_column(given: Given) -> DataFrame:
-    return given.mart("mart_customer_orders").where(
+    """Drops the rows that were made to count more orders than there are."""
+    return Models(given).damaged("mart_customer_orders").where(
         ~(F.col("completed_orders") + F.col("cancelled_orders") > F.col("total_orders"))
     ).select("customer_id", "total_orders", "completed_orders", "cancelled_orders")
 
@@ -64,9 +70,15 @@ def filter_rank(given: Given) -> DataFrame:
     )
 
 
-@check("filter_like", "SELECT customer_id, email FROM stg_customers WHERE email LIKE '%@%'")
+@check(
+    "filter_like",
+    """SELECT CAST(customer_id AS DOUBLE) AS customer_id, email FROM damaged_stg_customers
+       WHERE email LIKE '%@%'""",
+    gaps=("customer_id",),
+)
 def filter_like(given: Given) -> DataFrame:
-    rows = given.staged("stg_customers").where(F.col("email").like("%@%"))
+    """Drops the rows without an address or with one that is none."""
+    rows = Models(given).damaged("stg_customers").where(F.col("email").like("%@%"))
     return rows.select("customer_id", "email")
 
 
@@ -200,17 +212,19 @@ def fn_mask_email(given: Given) -> DataFrame:
 
 @check(
     "fn_arith_compare",
-    """SELECT customer_id, completed_orders + cancelled_orders AS ended,
-              completed_orders + cancelled_orders > total_orders AS too_many,
-              1 - total_orders AS rest
-       FROM mart_customer_orders""",
+    """SELECT customer_id, CAST(completed_orders + cancelled_orders AS DOUBLE) AS ended,
+              ifnull(completed_orders + cancelled_orders > total_orders, false) AS too_many,
+              CAST(1 - total_orders AS DOUBLE) AS rest
+       FROM damaged_mart_customer_orders WHERE customer_id IS NOT NULL""",
+    gaps=("ended", "rest"),
 )
 def fn_arith_compare(given: Given) -> DataFrame:
     ended = F.col("completed_orders") + F.col("cancelled_orders")
-    return given.mart("mart_customer_orders").select(
+    rows = Models(given).damaged("mart_customer_orders").where("customer_id IS NOT NULL")
+    return rows.select(
         "customer_id",
         ended.alias("ended"),
-        (ended > F.col("total_orders")).alias("too_many"),
+        F.coalesce(ended > F.col("total_orders"), F.lit(False)).alias("too_many"),
         (1 - F.col("total_orders")).alias("rest"),
     )
 
@@ -377,16 +391,16 @@ def dq_expression_is_true(given: Given) -> DataFrame:
 @check(
     "dq_singular",
     """SELECT customer_unique_id, total_orders, delivered_orders, cancelled_orders
-       FROM mart_olist_customer_orders
+       FROM damaged_mart_olist_customer_orders
        WHERE delivered_orders + cancelled_orders > total_orders""",
 )
 def dq_singular(given: Given) -> DataFrame:
     test = one("mart_olist_customer_orders", "customer_unique_id", "singular")
-    return quality.failing_rows(test, given.model(test.model))
+    return quality.failing_rows(test, Models(given).damaged(test.model))
 
 
-def failures_sql(test: quality.Test) -> str:
-    column, model = test.column, test.model
+def failures_sql(test: quality.Test, prefix: str = "") -> str:
+    column, model = test.column, prefix + test.model
     if isinstance(test, quality.Unique):
         return (
             f"SELECT count(*) FROM (SELECT {column} FROM {model} WHERE {column} IS NOT NULL "
@@ -395,7 +409,8 @@ def failures_sql(test: quality.Test) -> str:
     if isinstance(test, quality.Relationship):
         return (
             f"SELECT count(*) FROM {model} WHERE {column} IS NOT NULL AND {column} NOT IN "
-            f"(SELECT {test.parent_column} FROM {test.parent})"
+            f"(SELECT {test.parent_column} FROM {prefix}{test.parent} "
+            f"WHERE {test.parent_column} IS NOT NULL)"
         )
     if isinstance(test, quality.NotNull):
         condition = f"{column} IS NULL"
@@ -408,11 +423,15 @@ def failures_sql(test: quality.Test) -> str:
     return f"SELECT count(*) FROM {model} WHERE {condition}"
 
 
-REPORT_SQL = " UNION ALL ".join(
-    f"""SELECT '{test.model}' AS model, '{test.column}' AS "column", '{test.name}' AS test,
-        CAST(({failures_sql(test)}) AS BIGINT) AS failures"""
-    for test in suite()
-)
+def report_sql(prefix: str = "") -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{test.model}' AS model, '{test.column}' AS "column", '{test.name}' AS test,
+            CAST(({failures_sql(test, prefix)}) AS BIGINT) AS failures"""
+        for test in suite()
+    )
+
+
+REPORT_SQL = report_sql()
 
 
 @check("dq_report", REPORT_SQL)
@@ -420,6 +439,14 @@ def dq_report(given: Given) -> DataFrame:
     return quality.quality_report(given.spark, Models(given), suite())
 
 
+@check("dq_report_damaged", report_sql(PREFIX))
+def dq_report_damaged(given: Given) -> DataFrame:
+    """The same tests over models in which each of them is broken by some rows."""
+    models = Models(given)
+    broken = {name: models.damaged(name) for name in NOT_NULL}
+    return quality.quality_report(given.spark, broken, suite())
+
+
 class Models(dict):
     """Model name to DataFrame, built on first use; marts are stored, as in a build."""
 
@@ -436,6 +463,9 @@ class Models(dict):
             self[name] = self.given.stored(self.given.mart(name))
         return self[name]
 
+    def damaged(self, name: str) -> DataFrame:
+        return damaged(name, self[name])
+
 
 # role views
 

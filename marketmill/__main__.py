@@ -35,6 +35,7 @@ def parse(arguments: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--landing", help="folder of the marketplace files")
     parser.add_argument("--seeds", help="folder of the seed files")
     parser.add_argument("--bucket", help="read the landing files here if one is not local")
+    parser.add_argument("--resume", action="store_true", help="skip steps finished from the same input")
     parser.add_argument("--manifests", help="catalog document, or a folder of them")
     parser.add_argument("--question")
     parser.add_argument(
@@ -75,7 +76,9 @@ def main(arguments: list[str] | None = None) -> dict:
     embed = embedder(given.embedder)
     for job in given.jobs:
         if job == "build":
-            reports[job] = build_all(warehouse, given.landing, given.seeds, given.bucket).rows
+            reports[job] = build_all(
+                warehouse, given.landing, given.seeds, given.bucket, resume=given.resume
+            ).rows
         elif job == "train":
             reports[job] = {
                 experiment.name: train_and_record(

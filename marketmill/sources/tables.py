@@ -82,6 +82,11 @@ class Warehouse:
     def read(self, namespace: str, table: str) -> DataFrame:
         return self.spark.table(self.identifier(namespace, table))
 
+    def location(self, namespace: str, table: str) -> str:
+        """The folder that holds the rows of a table now."""
+        told = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.identifier(namespace, table)}")
+        return told.where("col_name = 'Location'").select("data_type").first()[0]
+
     def stage(self, df: DataFrame, namespace: str, table: str) -> Written:
         """Write a complete new copy; the row count is taken during the write."""
         location = f"{self.root}/{namespace}/{table}/{uuid.uuid4().hex}"

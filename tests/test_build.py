@@ -6,9 +6,11 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketmill.operators.governance import ANALYST, ENGINEER, with_row_policy
 from marketmill.operators.quality import QualityError, assert_all_pass
+from marketmill.plans import build
 from marketmill.plans.build import build_all
 from marketmill.plans.quality_suite import suite
 from marketmill.plans.roles import all_tables, register_role_views, role_view
@@ -179,3 +181,57 @@ def test_shared_folder_is_the_configured_one(spark):
 
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def counted_stages(monkeypatch):
+    made, stage = [], Warehouse.stage
+
+    def counted(self, df, namespace, table):
+        written = stage(self, df, namespace, table)
+        made.append(f"{namespace}.{table}")
+        return written
+
+    monkeypatch.setattr(Warehouse, "stage", counted)
+
+    def since() -> list[str]:
+        names = [name for name in made if not name.startswith("build.")]
+        made.clear()
+        return names
+
+    return since
+
+
+def test_a_broken_build_goes_on_where_it_stopped(spark, warehouse, marketplace_files, tmp_path, monkeypatch):
+    seeds = write_files(tmp_path / "seeds", rows.SEEDS)
+    stages = counted_stages(monkeypatch)
+    whole = build.all_marts
+
+    def broken(staged):
+        marts = whole(staged)
+        bad = F.raise_error(F.lit("broken mart"))
+        name = "mart_olist_seller_performance"
+        return marts | {name: marts[name].withColumn("seller_id", bad.cast("string"))}
+
+    monkeypatch.setattr(build, "all_marts", broken)
+    with pytest.raises(Exception, match="broken mart"):
+        build.build_all(warehouse, marketplace_files, seeds, resume=True)
+    assert len(stages()) == 13 and not warehouse.exists("marts", "mart_customer_orders")
+    monkeypatch.setattr(build, "all_marts", whole)
+    done = build.build_all(warehouse, marketplace_files, seeds, stop_on_failure=False, resume=True)
+    assert stages() == ["olist_marts.mart_olist_seller_performance"]
+    plain = {name: sorted(map(str, df.collect())) for name, df in done.models.items()}
+    again = build.build_all(warehouse, marketplace_files, seeds, stop_on_failure=False, resume=True)
+    assert stages() == [] and again.rows == done.rows
+    fresh = build.build_all(warehouse, marketplace_files, seeds, stop_on_failure=False)
+    assert {name: sorted(map(str, df.collect())) for name, df in fresh.models.items()} == plain
+
+
+def test_a_changed_file_is_loaded_again(spark, warehouse, marketplace_files, tmp_path, monkeypatch):
+    seeds = write_files(tmp_path / "seeds", rows.SEEDS)
+    build.build_all(warehouse, marketplace_files, seeds, stop_on_failure=False, resume=True)
+    stages = counted_stages(monkeypatch)
+    write_files(tmp_path / "landing", {"olist_sellers_dataset.csv": rows.MARKETPLACE["olist_sellers_dataset.csv"] + "new_seller,01001,x,SP\n"})
+    done = build.build_all(warehouse, marketplace_files, seeds, stop_on_failure=False, resume=True)
+    made = stages()
+    assert made[0] == "raw.olist_sellers" and len(made) == 4
+    assert done.models["stg_olist_sellers"].where("seller_id = 'new_seller'").count() == 1

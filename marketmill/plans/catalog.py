@@ -90,7 +90,7 @@ def known_texts(warehouse: Warehouse, model: str) -> DataFrame:
     warehouse.create_namespace(CATALOG_NAMESPACE)
     if not warehouse.exists(CATALOG_NAMESPACE, TEXTS_TABLE):
         empty = warehouse.spark.createDataFrame([], TEXTS_SCHEMA)
-        warehouse.replace(empty, CATALOG_NAMESPACE, TEXTS_TABLE)
+        warehouse.publish(warehouse.stage(empty, CATALOG_NAMESPACE, TEXTS_TABLE))
     stored = warehouse.read(CATALOG_NAMESPACE, TEXTS_TABLE)
     return stored.where(F.col("model") == model).select("digest", "embedding")
 

@@ -63,10 +63,14 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
 
 
 class FMIndex:
-    """Index of `symbols` (0 separates texts) for patterns of up to `depth` symbols."""
+    """Index of `symbols` (0 separates texts) for patterns of up to `depth` symbols.
 
-    def __init__(self, symbols: np.ndarray, depth: int):
+    `weights` says how many times each symbol's text is met.
+    """
+
+    def __init__(self, symbols: np.ndarray, depth: int, weights: np.ndarray):
         self.order = suffix_order(symbols, depth + 1)
+        self.met = np.concatenate([[0], np.cumsum(weights[self.order])])
         transform = symbols[self.order - 1]
         top = int(symbols.max()) if len(symbols) else 0
         counts = np.bincount(symbols, minlength=top + 1)
@@ -78,9 +82,9 @@ class FMIndex:
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Matching statistics by backward search, from each end on, up to `depth` symbols.
 
-        Returns for each end how many symbols before it are also met elsewhere, and the
-        range of the suffixes that start with them. `symbols` must be indexed here, so every
-        search finds itself; it stops when it finds nothing else.
+        Returns for each end how many symbols before it are also met elsewhere, copies of a
+        text counted, and the range of the suffixes that start with them. `symbols` must be
+        indexed here, so every search finds itself; it stops when it finds nothing else.
         """
         length = np.zeros(len(ends), dtype=np.int64)
         low = np.zeros(len(ends), dtype=np.int64)
@@ -91,7 +95,7 @@ class FMIndex:
             first = self.first[symbol]
             new_low = first + self.matrix.rank(symbol, low[active])
             new_high = first + self.matrix.rank(symbol, high[active])
-            more = new_high - new_low > 1
+            more = self.met[new_high] - self.met[new_low] > 1
             active = active[more]
             low[active], high[active] = new_low[more], new_high[more]
             length[active] = back

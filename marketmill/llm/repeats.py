@@ -8,9 +8,9 @@ fall into runs with one anchor; such a run and its units are a segment.
 1. Anchors are counted by hash. Those met more than once become a bitmap of fixed size.
 2. Texts are read again and hand out the segments whose anchor is in the bitmap. A foreign
    anchor that shares a bit costs a segment; it is found out in the next step.
-3. Equal segments become one row, with partial counts before the shuffle. Only anchors with
-   several different segments are left to compare, which each operator does its own way.
-   An anchor with very many of them is compared window by window, over all tasks.
+3. Equal segments become one row that counts its copies, merged before the shuffle. Each
+   operator judges these rows its own way, copies as weights, within an anchor. An anchor with
+   very many of them is dealt to it window by window, over all tasks.
 4. What was found goes back to all occurrences and is gathered by document.
 
 Only the segments of repeated anchors are shuffled, and each text once, to meet its finds.
@@ -33,13 +33,16 @@ from marketmill.llm.words import sliding_minimum
 BITMAP_BITS = 27  # 16 MB, in each worker
 SLICE_UNITS = 1 << 20  # windows of a text that are looked at at a time
 REMEMBERED = 500_000  # digests of segments, per task
-HOT_SEGMENTS = 20_000  # of one anchor: more are compared window by window
+HOT_SEGMENTS = 20_000  # of one anchor: more are dealt window by window
 LOW = np.uint64(0xFFFFFFFF)
 SEGMENTS = (
     "key long, s1 long, s2 long, body binary, anchor long, windows long,"
     " doc_id long, row long, start long"
 )
 RANGES = "array<struct<first: bigint, last: bigint>>"
+RANGE_LISTS = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
+FOUND = f"s1 long, s2 long, again {RANGES}, later {RANGES}"
+WINDOW_COLUMNS = ["h1", "h2", "s1", "s2", "offset", "copies", "doc_id", "at"]
 
 
 class Units:
@@ -171,49 +174,89 @@ def ranges_of(offsets: np.ndarray) -> list[dict[str, int]]:
     return [{"first": a, "last": b} for a, b in zip(firsts, lasts, strict=True)]
 
 
-def hot_ranges(hot: DataFrame, cut: Callable[[bytes, int], list[bytes]], earlier: bool) -> DataFrame:
-    """key, s1, s2, ranges for anchors with very many segments, window by window.
+def range_column(marks: list[np.ndarray]) -> pa.Array:
+    """For each segment the ranges of its marked windows."""
+    return pa.array([ranges_of(np.flatnonzero(each)) for each in marks], RANGE_LISTS)
 
-    `cut` gives the windows of a segment. Equal windows are merged before the shuffle, so
-    one that most segments have is no hot group either.
+
+def hot_ranges(
+    hot: DataFrame,
+    compare: Callable[[DataFrame], DataFrame],
+    cut: Callable[[bytes, int], list[bytes]],
+) -> DataFrame:
+    """What `compare` finds in anchors with very many segments, dealt window by window.
+
+    `cut` gives the windows of a segment. They are counted by digest, merged before the
+    shuffle, so one that most segments have is no hot group either. A window met once is
+    left out, as such an anchor is; each other one is compared as a segment of its own.
     """
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(7)]
             rows = [np.empty((0, 8), dtype=np.int64)]
-            for key, s1, s2, body, count, doc_id, start in zip(*columns, strict=True):
+            for s1, s2, body, count, copies, doc_id, start in zip(*columns, strict=True):
                 digests = b"".join([xxhash.xxh3_128_digest(part) for part in cut(body, count)])
                 part = np.empty((count, 8), dtype=np.int64)
                 part[:, :2] = np.frombuffer(digests, dtype="<i8").reshape(-1, 2)
-                part[:, 2], part[:, 3], part[:, 4], part[:, 6] = key, s1, s2, doc_id
-                part[:, 5] = np.arange(count)
+                part[:, 2], part[:, 3], part[:, 5], part[:, 6] = s1, s2, copies, doc_id
+                part[:, 4] = np.arange(count)
                 part[:, 7] = start + np.arange(count)
                 rows.append(part)
             every = np.concatenate(rows)
-            names = ["h1", "h2", "key", "s1", "s2", "offset", "doc_id", "at"]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(every[:, i].copy()) for i in range(8)], names=names
+                [pa.array(every[:, i].copy()) for i in range(8)], names=WINDOW_COLUMNS
             )
 
-    schema = "h1 long, h2 long, key long, s1 long, s2 long, offset long, doc_id long, at long"
-    rows = hot.select("key", "s1", "s2", "body", "windows", "doc_id", "start")
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            columns = [batch.column(i).to_pylist() for i in range(3)]
+            for body, count, parts in zip(*columns, strict=True):
+                pieces = cut(body, count)
+                rows += [{**part, "body": pieces[part["offset"]]} for part in parts]
+            names = ("h1", "h2", "copies", "doc_id", "start", "body")
+            kinds = [pa.binary() if name == "body" else pa.int64() for name in names]
+            arrays = [pa.array([row[n] for row in rows], k) for n, k in zip(names, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=list(names))
+
+    rows = hot.select("s1", "s2", "body", "windows", "copies", "doc_id", "start")
+    schema = ", ".join(f"{name} long" for name in WINDOW_COLUMNS)
     every = stored(rows.mapInArrow(windows, schema), "hot-windows")
     met = every.groupBy("h1", "h2").agg(
-        F.count(F.lit(1)).alias("met"), F.min(F.struct("doc_id", "at")).alias("before")
+        F.sum("copies").alias("copies"),
+        F.min(F.struct("doc_id", F.col("at").alias("start"))).alias("before"),
+        F.min(F.struct("s1", "s2", "offset")).alias("holder"),
+    )
+    met = stored(met.filter("copies > 1"), "hot-windows-met")
+    # At most as many windows a segment as one anchor can serve.
+    wanted = met.select("h1", "h2", "copies", "before.*", "holder.*").groupBy("s1", "s2").agg(
+        F.collect_list(F.struct("h1", "h2", "copies", "doc_id", "start", "offset")).alias("parts")
+    )
+    bodies = hot.select("s1", "s2", "body", "windows").join(wanted, ["s1", "s2"])
+    alone = bodies.select("body", "windows", "parts").mapInArrow(
+        single, "h1 long, h2 long, copies long, doc_id long, start long, body binary"
+    )
+    judged = compare(
+        alone.select(
+            F.col("h1").alias("key"), F.col("h1").alias("s1"), F.col("h2").alias("s2"), "body",
+            F.lit(0).cast("long").alias("anchor"), F.lit(1).cast("long").alias("windows"),
+            "copies", "doc_id", "start",
+        )
+    )
+    again = judged.select(F.col("s1").alias("h1"), F.col("s2").alias("h2"))
+    joined = every.join(met.select("h1", "h2", "before").join(again, ["h1", "h2"]), ["h1", "h2"])
+    later = F.when(F.expr("before < struct(doc_id, at)"), F.col("offset"))
+    offsets = joined.groupBy("s1", "s2").agg(
+        F.collect_list("offset").alias("again"), F.collect_list(later).alias("later")
     )
-    joined = every.join(met.filter("met > 1"), ["h1", "h2"])
-    if earlier:
-        joined = joined.filter("before < struct(doc_id, at)")
-    offsets = joined.groupBy("key", "s1", "s2").agg(F.collect_list("offset").alias("offsets"))
 
     def as_ranges(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
         for column in columns:
-            yield pa.array([ranges_of(np.sort(x.values.to_numpy())) for x in column], kind)
+            yield pa.array([ranges_of(np.sort(x.values.to_numpy())) for x in column], RANGE_LISTS)
 
-    ranges = F.arrow_udf(as_ranges, RANGES)(F.col("offsets"))
-    return offsets.select("key", "s1", "s2", ranges.alias("ranges"))
+    ranges = F.arrow_udf(as_ranges, RANGES)
+    return offsets.select("s1", "s2", ranges("again").alias("again"), ranges("later").alias("later"))
 
 
 def removed_units(
@@ -227,9 +270,11 @@ def removed_units(
 ) -> DataFrame:
     """doc_id, row, ranges: the units of each text that repeated windows cover, by document.
 
-    `compare` takes different segments of anchors that have several, and returns the ranges
-    of their windows that another of them has too (`earlier`: has at a smaller document or
-    start). With `earlier` the first occurrence of equal segments is spared, else none is.
+    `compare` takes different segments, each with its number of `copies` and the place of the
+    first (`doc_id`, `start`), and returns `FOUND`: of each segment the ranges of the windows
+    met `again`, copies counted, and of those met before the segment's first copy (`later`).
+    With `earlier` that first copy loses only the latter; else every copy loses what is met
+    again. Rows that repeat an id and text share one list of ranges.
     """
     texts = docs.select(
         document_id(id_col).alias("doc_id"),
@@ -247,27 +292,27 @@ def removed_units(
         F.first("windows").alias("windows"),
     )
     different = stored(different.select("*", "least.*").drop("least"), "different-segments")
-    per_key = different.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    per_key = different.groupBy("key").agg(
+        F.count(F.lit(1)).alias("kinds"), F.sum("copies").alias("met")
+    )
+    per_key = per_key.filter("met > 1").drop("met")
     mixed = different.join(per_key, "key")
     found = compare(mixed.filter(F.col("kinds") <= HOT_SEGMENTS).drop("kinds"))
-    hot = mixed.filter(F.col("kinds") > HOT_SEGMENTS)
-    found = found.unionByName(hot_ranges(hot, cut, earlier))
-    known = different.select("s1", "s2", "copies", F.col("doc_id").alias("least_id"),
+    if not per_key.filter(F.col("kinds") > HOT_SEGMENTS).isEmpty():
+        hot = stored(mixed.filter(F.col("kinds") > HOT_SEGMENTS), "hot-segments")
+        found = found.unionByName(hot_ranges(hot, compare, cut))
+    least = different.select("s1", "s2", F.col("doc_id").alias("least_id"),
                              F.col("start").alias("least_start"))
-    ruled = known.join(found.drop("key"), ["s1", "s2"], "left")
     # Written first, so that the next join has two plain exchanges and a hot segment can be split.
-    ruled = stored(ruled.filter("copies > 1 OR ranges IS NOT NULL"), "ruled-segments")
-    where = segments.select("s1", "s2", "windows", "doc_id", "row", "start")
-    whole = F.expr("array(struct(0L AS first, windows - 1 AS last))")
+    ruled = stored(found.join(least, ["s1", "s2"]), "ruled-segments")
+    joined = segments.select("s1", "s2", "doc_id", "row", "start").join(ruled, ["s1", "s2"])
+    ranges = F.col("again")
     if earlier:
-        spared = F.expr("doc_id = least_id AND start = least_start")
-        ranges = F.when(spared, F.col("ranges")).otherwise(whole)
-    else:
-        ranges = F.when(F.col("copies") > 1, whole).otherwise(F.col("ranges"))
-    joined = where.join(ruled, ["s1", "s2"])
+        first = F.expr("doc_id = least_id AND start = least_start")
+        ranges = F.when(first, F.col("later")).otherwise(ranges)
     each = joined.select("doc_id", "row", "start", F.explode(ranges).alias("range"))
     return each.groupBy("doc_id", "row").agg(
-        F.collect_list(
+        F.collect_set(
             F.struct(
                 (F.col("start") + F.col("range.first")).alias("first"),
                 (F.col("start") + F.col("range.last") + units.window - 1).alias("last"),

@@ -1,10 +1,10 @@
 """Substring deduplication by words, through a compressed FM-index per shard.
 
-See `repeats` for how the words to compare are found. Different segments that share an
-anchor are dealt to shards of bounded size. A shard numbers its words, builds an FM-index
-over its segments and searches backwards from the end of every window: the matching
-statistics say which windows are met more than once, and the suffix range says where
-first. Windows that are met earlier are handed out as intervals.
+See `repeats` for how the words to compare are found. Segments that share an anchor are
+dealt to one shard, shards are of bounded size. A shard numbers its words, builds an FM-index
+over its segments, each weighted by its copies, and searches backwards from the end of every
+window: the matching statistics say which windows are met more than once, and the suffix
+range says where first. Both are handed out as intervals.
 """
 
 from __future__ import annotations
@@ -20,14 +20,13 @@ from pyspark.sql import functions as F
 
 from marketmill.llm.common import bytes_of, spare, stored, whole_text
 from marketmill.llm.fm_index import FMIndex
-from marketmill.llm.repeats import Units, covered, ranges_of, removed_units, with_ranges
+from marketmill.llm.repeats import FOUND, Units, covered, ranges_of, removed_units, with_ranges
 from marketmill.llm.words import run_hashes, word_hashes
 
 WINDOW = 20
 GRAM = 6
 SHARD_WORDS = 1_000_000
 SEARCHED = 1 << 18  # windows at a time
-FOUND = "key long, s1 long, s2 long, ranges array<struct<first: bigint, last: bigint>>"
 KEPT = "struct<text: string, n_words: bigint, n_removed: bigint>"
 
 
@@ -57,7 +56,7 @@ def word_windows(window: int):
 
 
 def shard_ranges(rows: pd.DataFrame, window: int) -> pd.DataFrame:
-    """The windows of a shard's segments that another segment has at an earlier place."""
+    """Of a shard's segments the windows met more than once, and those met earlier."""
     split = [body.split() for body in rows["body"]]
     numbers: dict[bytes, int] = {}
     coded = [[numbers.setdefault(word, len(numbers) + 1) for word in words] for words in split]
@@ -68,7 +67,7 @@ def shard_ranges(rows: pd.DataFrame, window: int) -> pd.DataFrame:
     segment = np.repeat(np.arange(len(rows)), counts)
     offset = np.arange(len(segment)) - np.repeat(np.cumsum(counts) - counts, counts)
     place = begins[segment] + offset
-    index = FMIndex(symbols, window)
+    index = FMIndex(symbols, window, np.repeat(rows["copies"].to_numpy(np.int64), sizes))
     docs, starts = rows["doc_id"].to_numpy(np.int64), rows["start"].to_numpy(np.int64)
     # Windows numbered by (document, start); those that tie have one number.
     at = starts[segment] + offset
@@ -80,7 +79,7 @@ def shard_ranges(rows: pd.DataFrame, window: int) -> pd.DataFrame:
     when = np.full(len(symbols), len(order), dtype=np.int64)
     when[place[order]] = np.cumsum(~same)
     by_suffix = when[index.order]
-    later = np.zeros(len(segment), dtype=bool)
+    again, later = (np.zeros(len(segment), dtype=bool) for _ in range(2))
     for start in range(0, len(place), SEARCHED):
         part = place[start : start + SEARCHED]
         length, low, high = index.matches(symbols, part + window, window)
@@ -94,12 +93,13 @@ def shard_ranges(rows: pd.DataFrame, window: int) -> pd.DataFrame:
         edges = np.column_stack([lows, highs]).ravel()
         padded = np.append(by_suffix, np.iinfo(np.int64).max)
         least = np.minimum.reduceat(padded, edges)[::2]
+        again[start + whole] = True
         later[start + whole] = least[back] < when[part[whole]]
-    flagged = np.split(later, np.cumsum(counts)[:-1])
-    ranges = [ranges_of(np.flatnonzero(marks)) for marks in flagged]
-    found = rows[["key", "s1", "s2"]].copy()
-    found["ranges"] = ranges
-    return found[[bool(x) for x in ranges]]
+    found = rows[["s1", "s2"]].copy()
+    for name, flags in (("again", again), ("later", later)):
+        marks = np.split(flags, np.cumsum(counts)[:-1])
+        found[name] = [ranges_of(np.flatnonzero(each)) for each in marks]
+    return found[[bool(x) for x in found["again"]]]
 
 
 def compare_in_shards(window: int):

@@ -1,12 +1,12 @@
 """Suffix-array deduplication by bytes.
 
-See `repeats` for how the texts to compare are found. Different segments that share an
-anchor are range-partitioned by the bytes that lead from the anchor on, at splitters that
-Spark samples. A bucket sorts the suffixes of its segments that start a window by multikey
-quicksort, eight bytes to a key: sorted neighbours that agree are refined by the next key,
-those that are alone drop out. An anchor never straddles two buckets; an anchor with more
-segments than a bucket should hold is spread over all tasks and its windows compared across
-them.
+See `repeats` for how the texts to compare are found. Segments are range-partitioned by the
+bytes that lead from the anchor on, at splitters that Spark samples. A bucket sorts the
+suffixes of its segments that start a window by multikey quicksort, eight bytes to a key:
+sorted neighbours that agree are refined by the next key, those that are alone drop out, and
+count as repeated only if their segment has copies. An anchor never straddles two buckets, so
+nothing equal lies on both sides of a boundary; an anchor with more segments than a bucket
+should hold is dealt window by window.
 """
 
 from __future__ import annotations
@@ -21,11 +21,11 @@ from pyspark.sql import functions as F
 
 from marketmill.llm.common import bytes_of, spare, stored, whole_text
 from marketmill.llm.repeats import (
-    RANGES,
+    FOUND,
     SLICE_UNITS,
     Units,
     covered,
-    ranges_of,
+    range_column,
     removed_units,
     with_ranges,
 )
@@ -37,7 +37,6 @@ LEAD = 16  # bytes that deal segments to buckets
 BUCKET_BYTES = 32 << 20
 BLOCK_BYTES = 4 << 20  # of segments that are sorted together
 KEPT = "struct<body: binary, n_bytes: bigint, n_removed: bigint, n_spans: bigint>"
-FOUND = f"key long, s1 long, s2 long, ranges {RANGES}"
 
 
 class Bytes(Units):
@@ -79,8 +78,11 @@ def byte_windows(window: int):
     return cut
 
 
-def equal_suffixes(text: np.ndarray, places: np.ndarray, groups: np.ndarray, depth: int):
-    """Which places start `depth` bytes that another place of the same group starts too.
+def equal_suffixes(
+    text: np.ndarray, places: np.ndarray, groups: np.ndarray, copies: np.ndarray, depth: int
+) -> np.ndarray:
+    """Which places start `depth` bytes that are met again: at another place of their group,
+    or in a copy of their own text (`copies`, of each place).
 
     Multikey quicksort: places are sorted by group and key; runs that agree become the
     groups of the next key, eight bytes further on.
@@ -98,6 +100,8 @@ def equal_suffixes(text: np.ndarray, places: np.ndarray, groups: np.ndarray, dep
         fresh = np.ones(len(active), dtype=bool)
         fresh[1:] = (groups[1:] != groups[:-1]) | (keys[1:] != keys[:-1])
         alone = fresh & np.append(fresh[1:], True)
+        lone = active[alone]
+        found[lone] = copies[lone] > 1
         groups = np.cumsum(fresh)[~alone]
         active = active[~alone]
         if not len(active):
@@ -107,7 +111,7 @@ def equal_suffixes(text: np.ndarray, places: np.ndarray, groups: np.ndarray, dep
 
 
 def block_ranges(rows: list[tuple], window: int) -> pa.RecordBatch:
-    """Ranges of the windows that several of the segments have; whole anchors only."""
+    """Ranges of the windows that are met again; whole anchors only."""
     bodies = [row[3] for row in rows]
     sizes = np.array([len(body) for body in bodies])
     begins = np.cumsum(sizes) - sizes
@@ -119,14 +123,14 @@ def block_ranges(rows: list[tuple], window: int) -> pa.RecordBatch:
     # Equal windows have their anchor at the same place.
     groups = key[segment] * (2 * window) + (anchor[segment] - offset)
     text = np.frombuffer(b"".join(bodies), dtype=np.uint8)
-    again = equal_suffixes(text, begins[segment] + offset, groups, window)
-    ranges = [ranges_of(np.flatnonzero(x)) for x in np.split(again, np.cumsum(counts)[:-1])]
-    hit = [i for i, found in enumerate(ranges) if found]
-    kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())]))
-    columns = [pa.array([rows[i][c] for i in hit], pa.int64()) for c in range(3)]
-    return pa.RecordBatch.from_arrays(
-        [*columns, pa.array([ranges[i] for i in hit], kind)], names=["key", "s1", "s2", "ranges"]
-    )
+    copies = np.array([row[5] for row in rows])[segment]
+    flags = equal_suffixes(text, begins[segment] + offset, groups, copies, window)
+    marks = np.split(flags, np.cumsum(counts)[:-1])
+    hit = [i for i, found in enumerate(marks) if found.any()]
+    again = range_column([marks[i] for i in hit])
+    columns = [pa.array([rows[i][c] for i in hit], pa.int64()) for c in (1, 2)]
+    later = pa.nulls(len(hit), again.type)  # where a window is met first plays no part
+    return pa.RecordBatch.from_arrays([*columns, again, later], names=["s1", "s2", "again", "later"])
 
 
 def compare_in_buckets(window: int):
@@ -141,7 +145,7 @@ def compare_in_buckets(window: int):
             rows: list[tuple] = []
             size = 0
             for batch in batches:
-                columns = [batch.column(i).to_pylist() for i in range(5)]
+                columns = [batch.column(i).to_pylist() for i in range(6)]
                 for row in zip(*columns, strict=True):
                     if size > BLOCK_BYTES and row[0] != rows[-1][0]:
                         yield block_ranges(rows, window)
@@ -151,7 +155,8 @@ def compare_in_buckets(window: int):
             if rows:
                 yield block_ranges(rows, window)
 
-        return dealt.select("key", "s1", "s2", "body", "anchor").mapInArrow(ranges, FOUND)
+        held_columns = dealt.select("key", "s1", "s2", "body", "anchor", "copies")
+        return held_columns.mapInArrow(ranges, FOUND)
 
     return compare
 

@@ -296,7 +296,39 @@ def test_no_link_lies_beyond_the_cells(blocks):
         assert abs(cell(x) - cell(y)) in steps
 
 
-@pytest.mark.parametrize("hot", [2, 20_000])
+@pytest.mark.parametrize(
+    "drop, module, name",
+    [
+        (substring_dedup.drop_repeated_words, substring_dedup, "shard_ranges"),
+        (suffix_dedup.drop_repeated_bytes, suffix_dedup, "equal_suffixes"),
+    ],
+)
+@pytest.mark.parametrize("hot", [0, 20_000])
+def test_repeats_are_decided_by_the_index_and_the_suffixes(docs, monkeypatch, drop, module, name, hot):
+    """Without the index, or the sorted suffixes, nothing is removed, whole copies included."""
+    monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
+    assert drop(docs).agg(F.sum("n_removed")).first()[0] > 0
+    if name == "shard_ranges":
+        monkeypatch.setattr(module, name, lambda rows, window: rows[:0].assign(again=None, later=None)[
+            ["s1", "s2", "again", "later"]])
+    else:
+        monkeypatch.setattr(module, name, lambda text, places, *rest: np.zeros(len(places), dtype=bool))
+    assert drop(docs).agg(F.sum("n_removed")).first()[0] == 0
+
+
+def test_repeated_rows_share_their_ranges(spark):
+    rows = [(None if i % 2 else 7, PASSAGE) for i in range(40)] + [(1, f"x {PASSAGE}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    units = substring_dedup.Words(20, 6)
+    found = repeats.removed_units(docs, units, substring_dedup.compare_in_shards(20),
+                                  substring_dedup.word_windows(20), True, "doc_id", "text").collect()
+    assert {(r["doc_id"], r["row"]) for r in found} == {(r["doc_id"], r["row"]) for r in found[:2]}
+    assert max(len(r["ranges"]) for r in found) <= 60
+    gone = {r["n_removed"] for r in substring_dedup.drop_repeated_words(docs).filter("doc_id = 7").collect()}
+    assert gone == {60}
+
+
+@pytest.mark.parametrize("hot", [0, 2, 20_000])
 def test_repeated_words(docs, empty, monkeypatch, hot):
     monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
     found = by_id(substring_dedup.drop_repeated_words(docs))
@@ -314,7 +346,7 @@ def test_repeated_words(docs, empty, monkeypatch, hot):
     assert substring_dedup.drop_repeated_words(empty).count() == 0
 
 
-@pytest.mark.parametrize("hot", [2, 20_000])
+@pytest.mark.parametrize("hot", [0, 2, 20_000])
 def test_repeated_bytes(docs, empty, monkeypatch, hot):
     monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
     found = by_id(suffix_dedup.drop_repeated_bytes(docs))

@@ -102,15 +102,18 @@ def write_archives(
     rows = rows.withColumns(
         {"bytes": F.octet_length("body").cast("long"), "digest": base32_of_hex(F.sha1("body"))}
     )
-    # Equal payloads are found on narrow rows, merged before the shuffle.
+    rows = rows.withColumn("second", F.xxhash64("body"))
+    # Equal payloads are found on narrow rows, merged before the shuffle. SHA-1 alone would
+    # take two payloads that were made to collide for equal.
+    same = ["digest", "bytes", "second"]
     shared = (
         rows.filter(F.col("bytes") >= least_bytes)
-        .groupBy("digest")
+        .groupBy(*same)
         .agg(F.max("page_id").alias("last"), F.count(F.lit(1)).alias("copies"))
         .filter("copies > 1 AND last IS NOT NULL")
-        .select("digest", "last")
+        .select(*same, "last")
     )
-    joined = rows.join(stored(shared, "payloads"), "digest", "left")
+    joined = rows.join(stored(shared, "payloads"), same, "left")
     refers = F.when(F.col("page_id") < F.col("last"), F.col("last"))
     records = joined.withColumn("refers_to", refers).select(record_of().alias("value"))
     writer = records.write.option("compression", "gzip").option("lineSep", BREAK * 2)
@@ -245,7 +248,10 @@ def read_records(index: DataFrame) -> DataFrame:
                     rows, size = [], 0
         yield frame(rows)
 
-    near = index.repartition("archive").sortWithinPartitions("archive", "offset")
+    # As many tasks as archives, of equal numbers of records: the bytes of the index say nothing.
+    tasks = max(1, index.select("archive").distinct().count())
+    near = index.repartitionByRange(tasks, "archive", "offset")
+    near = near.sortWithinPartitions("archive", "offset")
     return near.select("archive", "offset", "length").mapInPandas(fetch, RECORDS)
 
 

@@ -142,7 +142,7 @@ def fit_quality(
     """A model of rows that may be learned from; None without a label.
 
     `labels` has `id_col` and a `label` of 0 or 1 (null: no label). An id with several
-    labels counts as good if one of them is 1.
+    labels counts as good if one of them is 1. Of rows that repeat an id one is learned from.
     """
     given = labels.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{label}`").alias("good"))
     given = given.filter("id IS NOT NULL AND good IS NOT NULL").groupBy("id")
@@ -156,12 +156,15 @@ def fit_quality(
     if not count:
         return None
     idf = inverse_frequencies(met, count, GRAMS)
-    good = given.filter("good = 1").select("id").orderBy(F.xxhash64("id"), "id").limit(per_side)
-    web = rows.select("id").filter("id IS NOT NULL").distinct()
-    web = web.orderBy(F.xxhash64("id", F.lit("web")), "id").limit(per_side)
+    known = rows.select("id").filter("id IS NOT NULL").distinct()
+    good = given.filter("good = 1").select("id").join(known, "id", "left_semi")
+    good = good.orderBy(F.xxhash64("id"), "id").limit(per_side)
+    web = known.orderBy(F.xxhash64("id", F.lit("web")), "id").limit(per_side)
     sides = good.withColumn("label", F.lit(1)).unionByName(web.withColumn("label", F.lit(0)))
-    # At most 2 * per_side ids.
-    sample = rows.join(F.broadcast(sides), "id").select("label", "text")
+    # At most 2 * per_side ids, and one row of each.
+    sample = rows.join(F.broadcast(sides), "id")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))
+    sample = sample.groupBy("id", "label").agg(one.alias("row")).select("label", "row.text")
     found = sample_features(stored(sample, "quality-sample"), GRAMS)
     found.sort(key=lambda row: (row[0], len(row[1]), row[1].tobytes()[:64]))
     sides_of = {

@@ -427,3 +427,30 @@ def test_warc_round_trip(spark):
     kinds = {(r["page_id"], r["record_type"], r["refers_to"]) for r in found}
     assert {(1, "revisit", 2), (2, "response", None), (3, "revisit", 4), (4, "response", None)} <= kinds
     assert warc.round_trip(pages.limit(0)).count() == 0
+
+
+def test_records_are_read_by_as_many_tasks_as_archives(spark):
+    pages = spark.range(0, 400, 1, 5).select(
+        F.col("id").alias("page_id"), F.lit("u").alias("url"),
+        F.concat(F.lit("page "), F.col("id").cast("string")).alias("html"),
+    )
+    found = warc.round_trip(pages)
+    per_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_task) == 5 and sum(per_task) == 400 and max(per_task) < 160
+
+
+def test_quality_learns_from_one_row_of_an_id(spark, monkeypatch):
+    rows = [(i, f"good text of number {i} and more words") for i in range(20)]
+    rows += [(3, f"the same id again {k}") for k in range(300)] + [(None, "no id")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = [(i, 1) for i in range(0, 20, 2)] + [(i, 1) for i in range(1000, 1200)] + [(3, 0)]
+    given = spark.createDataFrame(labels, "doc_id long, quality int")
+    sizes = []
+
+    def counted(sample, grams):
+        sizes.append({r["label"]: r["count"] for r in sample.groupBy("label").count().collect()})
+        return []
+
+    monkeypatch.setattr(quality, "sample_features", counted)
+    quality.fit_quality(docs, given, per_side=15)
+    assert sizes == [{1: 10, 0: 15}]  # labels of other tables take no places of the sample

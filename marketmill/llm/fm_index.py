@@ -43,14 +43,23 @@ class WaveletMatrix:
 
 
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes in the order of their first `depth` symbols or more, by doubling."""
-    _, ranks = np.unique(symbols, return_inverse=True)
-    reach = 1
-    order = np.argsort(ranks, kind="stable")
+    """Suffixes in the order of their first `depth` symbols or more, by doubling.
+
+    The first keys hold as many symbols as 63 bits take.
+    """
+    width = max(1, int(symbols.max()).bit_length()) if len(symbols) else 1
+    reach = max(1, min(63 // width, depth))
+    keys = np.zeros(len(symbols), dtype=np.int64)
+    for at in range(reach):
+        keys <<= width
+        keys[: len(symbols) - at] |= symbols[at:]
+    order = np.argsort(keys, kind="stable")
+    ranks = np.zeros(len(symbols), dtype=np.int64)
+    ranks[order[1:]] = np.cumsum(keys[order][1:] != keys[order][:-1])
     while reach < depth:
         after = np.zeros(len(ranks), dtype=np.int64)
         after[:-reach] = ranks[reach:] + 1
-        pair = ranks.astype(np.int64) * (len(ranks) + 1) + after
+        pair = ranks * (len(ranks) + 1) + after
         order = np.argsort(pair, kind="stable")
         sorted_pair = pair[order]
         fresh = np.empty(len(ranks), dtype=np.int64)
@@ -71,6 +80,8 @@ class FMIndex:
     def __init__(self, symbols: np.ndarray, depth: int, weights: np.ndarray):
         self.order = suffix_order(symbols, depth + 1)
         self.met = np.concatenate([[0], np.cumsum(weights[self.order])])
+        self.place = np.empty(len(symbols), dtype=np.int64)  # of each suffix in the order
+        self.place[self.order] = np.arange(len(symbols))
         transform = symbols[self.order - 1]
         top = int(symbols.max()) if len(symbols) else 0
         counts = np.bincount(symbols, minlength=top + 1)
@@ -84,7 +95,9 @@ class FMIndex:
 
         Returns for each end how many symbols before it are also met elsewhere, copies of a
         text counted, and the range of the suffixes that start with them. `symbols` must be
-        indexed here, so every search finds itself; it stops when it finds nothing else.
+        indexed here, so every search finds itself; it stops when it finds nothing else. A
+        range of one suffix is the search's own text: where its copies are all there is, all
+        `depth` symbols are met again and the range is known.
         """
         length = np.zeros(len(ends), dtype=np.int64)
         low = np.zeros(len(ends), dtype=np.int64)
@@ -99,6 +112,12 @@ class FMIndex:
             active = active[more]
             low[active], high[active] = new_low[more], new_high[more]
             length[active] = back
+            single = high[active] - low[active] == 1
+            own = active[single]
+            length[own] = depth
+            low[own] = self.place[ends[own] - depth]
+            high[own] = low[own] + 1
+            active = active[~single]
             if not len(active):
                 break
         return length, low, high

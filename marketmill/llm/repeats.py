@@ -174,9 +174,19 @@ def ranges_of(offsets: np.ndarray) -> list[dict[str, int]]:
     return [{"first": a, "last": b} for a, b in zip(firsts, lasts, strict=True)]
 
 
-def range_column(marks: list[np.ndarray]) -> pa.Array:
-    """For each segment the ranges of its marked windows."""
-    return pa.array([ranges_of(np.flatnonzero(each)) for each in marks], RANGE_LISTS)
+def range_column(marks: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """For each segment the ranges of its marked windows; `counts` of windows, none empty."""
+    begins = np.cumsum(counts) - counts
+    opens, closes = marks.copy(), marks.copy()
+    opens[1:] &= ~marks[:-1]
+    opens[begins] = marks[begins]
+    closes[:-1] &= ~marks[1:]
+    closes[begins + counts - 1] = marks[begins + counts - 1]
+    firsts, lasts = np.flatnonzero(opens), np.flatnonzero(closes)
+    segment = np.searchsorted(begins, firsts, side="right") - 1
+    pairs = [pa.array(at - begins[segment], pa.int64()) for at in (firsts, lasts)]
+    edges = np.searchsorted(segment, np.arange(len(counts) + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(edges, pa.StructArray.from_arrays(pairs, names=["first", "last"]))
 
 
 def hot_ranges(

@@ -13,20 +13,20 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketmill.llm.common import bytes_of, spare, stored, whole_text
 from marketmill.llm.fm_index import FMIndex
-from marketmill.llm.repeats import FOUND, Units, covered, ranges_of, removed_units, with_ranges
+from marketmill.llm.repeats import FOUND, Units, covered, range_column, removed_units, with_ranges
 from marketmill.llm.words import run_hashes, word_hashes
 
 WINDOW = 20
 GRAM = 6
 SHARD_WORDS = 1_000_000
-SEARCHED = 1 << 18  # windows at a time
+SEARCHED = 1 << 15  # windows at a time: their numbers stay in the cache
 KEPT = "struct<text: string, n_words: bigint, n_removed: bigint>"
 
 
@@ -55,20 +55,20 @@ def word_windows(window: int):
     return cut
 
 
-def shard_ranges(rows: pd.DataFrame, window: int) -> pd.DataFrame:
+def shard_ranges(rows: pa.Table, window: int) -> pa.Table:
     """Of a shard's segments the windows met more than once, and those met earlier."""
-    split = [body.split() for body in rows["body"]]
+    split = [body.split() for body in rows["body"].to_pylist()]
     numbers: dict[bytes, int] = {}
     coded = [[numbers.setdefault(word, len(numbers) + 1) for word in words] for words in split]
     symbols = np.concatenate([np.array([*words, 0], dtype=np.int64) for words in coded])
     sizes = np.array([len(words) + 1 for words in coded])
     begins = np.cumsum(sizes) - sizes
     counts = sizes - window
-    segment = np.repeat(np.arange(len(rows)), counts)
+    segment = np.repeat(np.arange(len(split)), counts)
     offset = np.arange(len(segment)) - np.repeat(np.cumsum(counts) - counts, counts)
     place = begins[segment] + offset
-    index = FMIndex(symbols, window, np.repeat(rows["copies"].to_numpy(np.int64), sizes))
-    docs, starts = rows["doc_id"].to_numpy(np.int64), rows["start"].to_numpy(np.int64)
+    index = FMIndex(symbols, window, np.repeat(rows["copies"].to_numpy(), sizes))
+    docs, starts = rows["doc_id"].to_numpy(), rows["start"].to_numpy()
     # Windows numbered by (document, start); those that tie have one number.
     at = starts[segment] + offset
     order = np.lexsort((at, docs[segment]))
@@ -95,11 +95,10 @@ def shard_ranges(rows: pd.DataFrame, window: int) -> pd.DataFrame:
         least = np.minimum.reduceat(padded, edges)[::2]
         again[start + whole] = True
         later[start + whole] = least[back] < when[part[whole]]
-    found = rows[["s1", "s2"]].copy()
+    found = rows.select(["s1", "s2"])
     for name, flags in (("again", again), ("later", later)):
-        marks = np.split(flags, np.cumsum(counts)[:-1])
-        found[name] = [ranges_of(np.flatnonzero(each)) for each in marks]
-    return found[[bool(x) for x in found["again"]]]
+        found = found.append_column(name, range_column(flags, counts))
+    return found.filter(pc.greater(pc.list_value_length(found["again"]), 0))
 
 
 def compare_in_shards(window: int):
@@ -109,10 +108,11 @@ def compare_in_shards(window: int):
         shards = max(1, math.ceil(words / SHARD_WORDS))
         dealt = held.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
 
-        def ranges(rows: pd.DataFrame) -> pd.DataFrame:
+        def ranges(rows: pa.Table) -> pa.Table:
             return shard_ranges(rows, window)
 
-        return dealt.groupBy("shard").applyInPandas(ranges, FOUND)
+        needed = dealt.select("shard", "s1", "s2", "body", "copies", "doc_id", "start")
+        return needed.groupBy("shard").applyInArrow(ranges, FOUND)
 
     return compare
 

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,12 +126,11 @@ def block_ranges(rows: list[tuple], window: int) -> pa.RecordBatch:
     text = np.frombuffer(b"".join(bodies), dtype=np.uint8)
     copies = np.array([row[5] for row in rows])[segment]
     flags = equal_suffixes(text, begins[segment] + offset, groups, copies, window)
-    marks = np.split(flags, np.cumsum(counts)[:-1])
-    hit = [i for i, found in enumerate(marks) if found.any()]
-    again = range_column([marks[i] for i in hit])
-    columns = [pa.array([rows[i][c] for i in hit], pa.int64()) for c in (1, 2)]
-    later = pa.nulls(len(hit), again.type)  # where a window is met first plays no part
-    return pa.RecordBatch.from_arrays([*columns, again, later], names=["s1", "s2", "again", "later"])
+    again = range_column(flags, counts)
+    columns = [pa.array([row[c] for row in rows], pa.int64()) for c in (1, 2)]
+    later = pa.nulls(len(rows), again.type)  # where a window is met first plays no part
+    found = pa.RecordBatch.from_arrays([*columns, again, later], names=["s1", "s2", "again", "later"])
+    return found.filter(pc.greater(pc.list_value_length(again), 0))
 
 
 def compare_in_buckets(window: int):

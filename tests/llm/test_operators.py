@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -309,8 +310,9 @@ def test_repeats_are_decided_by_the_index_and_the_suffixes(docs, monkeypatch, dr
     monkeypatch.setattr(repeats, "HOT_SEGMENTS", hot)
     assert drop(docs).agg(F.sum("n_removed")).first()[0] > 0
     if name == "shard_ranges":
-        monkeypatch.setattr(module, name, lambda rows, window: rows[:0].assign(again=None, later=None)[
-            ["s1", "s2", "again", "later"]])
+        none = pa.schema([("s1", pa.int64()), ("s2", pa.int64()), ("again", repeats.RANGE_LISTS),
+                          ("later", repeats.RANGE_LISTS)]).empty_table()
+        monkeypatch.setattr(module, name, lambda rows, window: none)
     else:
         monkeypatch.setattr(module, name, lambda text, places, *rest: np.zeros(len(places), dtype=bool))
     assert drop(docs).agg(F.sum("n_removed")).first()[0] == 0

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from marketmill.checks import jobs  # noqa: F401
+from marketmill.checks.registry import CHECKS
 from marketmill.schemas import MARKETPLACE_FILES, RAW_COLUMNS, SEED_FILES
 from marketmill.sources.csv_files import (
     load_csv_tables,
@@ -166,3 +169,17 @@ def test_files_in_the_remote_folder_are_read_in_place(spark, warehouse, tmp_path
     )
     require_files(spark, root, MARKETPLACE_FILES)
     assert load_csv_tables(warehouse, root, MARKETPLACE_FILES)["olist_geolocation"] == 7
+
+
+def test_the_remote_copy_may_have_many_parts(spark, tmp_path):
+    """Parts keep their header when there are several, and when several lie in one split."""
+    parts = spark.range(40).select(
+        F.col("id").alias("p_partkey"),
+        F.concat(F.lit("part "), "id").alias("p_name"),
+        F.concat(F.lit("type "), F.col("id") % 3).alias("p_type"),
+        (F.col("id") % 50).cast("int").alias("p_size"),
+        (F.col("id") + 0.5).alias("p_retailprice"),
+    )
+    parts.repartition(12).write.parquet(str(tmp_path / "part.parquet"))
+    found = CHECKS["csv_remote_source"].query(spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect())) == sorted((str(i), i % 50) for i in range(40))

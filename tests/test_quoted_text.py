@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 
@@ -55,6 +56,14 @@ def test_states_of_lines(inside):
         assert quoted_text.inside_after(line, inside) == after, line
 
 
+def test_states_of_many_lines_at_once():
+    chosen = random.Random(3)
+    lines = ["".join(chosen.choices('",aé \r', k=chosen.randrange(12))) for _ in range(4000)]
+    outside, inside = quoted_text.insides_after(pa.array(lines))
+    assert outside == [quoted_text.inside_after(line, False) for line in lines]
+    assert inside == [quoted_text.inside_after(line, True) for line in lines]
+
+
 def test_ranges_are_tasks_whatever_the_session_says(spark, tmp_path):
     path = write_files(tmp_path / "one", {"f.csv": "a,b,c\n" + '1,"two\nlines",3\n' * 2000})
     lines = quoted_text.lines_of(spark, path, 1000)
@@ -70,6 +79,16 @@ def test_ranges_are_tasks_whatever_the_session_says(spark, tmp_path):
     assert found.distinct().collect() == [("1", "two\nlines", "3")] and found.count() == 2000
 
 
+def test_small_ranges_share_tasks(spark, tmp_path):
+    path = write_files(tmp_path / "one", {"f.csv": "a,b,c\n" + '1,"two\nlines",3\n' * 2000})
+    records = quoted_text.quoted_records(spark, path, 100)
+    most = 2 * spark.sparkContext.defaultParallelism
+    tasks = records.rdd.getNumPartitions()
+    assert tasks <= most + int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert records.filter("NOT header").count() == 2000
+    assert quoted_text.tasks_for(spark, path) == most
+
+
 def test_a_record_over_many_ranges(spark, tmp_path):
     cell = "word\n" * 400
     path = write_files(tmp_path / "one", {"f.csv": f'a,b,c\n1,"{cell}",3\n4,5,6\n'})

@@ -75,6 +75,9 @@ def bytes_of(column: pa.Array | pa.ChunkedArray) -> Iterator[bytes]:
     binary = column.cast(pa.large_binary())
     for start in range(0, len(binary), HELD_TEXTS):
         yield from binary.slice(start, HELD_TEXTS).to_pylist()
+    del binary
+    # Workers live on between stages; what a batch took goes back to the system.
+    pa.default_memory_pool().release_unused()
 
 
 def texts_of(column: pa.Array | pa.ChunkedArray) -> Iterator[str]:

@@ -31,6 +31,7 @@ TILE = 4096
 NODES_PER_CELL = 256  # aimed at
 COUNT_BASE = 128  # block counts are digits of this base; a sum of digits never reaches it
 SLICE = 16_384  # shingles whose bits are counted at a time
+CELL_BASE = 1024  # cells of population counts below a band, and room between bands
 PRINT_WORDS = 4  # of 64 bits, in the fingerprint of a set of runs
 PRINT_SLICE = 255  # runs whose bits are counted at a time, in a byte
 MISSED = 1e-6  # chance at most that two sets of the least similarity are no candidates
@@ -202,6 +203,32 @@ def print_forest(
     return moved_links(labels, np.concatenate([nodes, other_nodes]))
 
 
+def set_tile(band: Column, prints: Column, radius: int) -> Column:
+    """The tile of a set: its band of sizes, and the population count of its print in cells.
+
+    At radii for which finer blocks skip no more (`compared_share`), one block is the print.
+    """
+    ones = sum((F.bit_count(prints[k]) for k in range(1, PRINT_WORDS)), F.bit_count(prints[0]))
+    return band * F.lit(CELL_BASE) + F.floor(ones / count_width(radius))
+
+
+def count_width(radius: int) -> int:
+    """Population counts of a cell: few cells, of which those beyond the radius are skipped."""
+    return max(1, radius // 2)
+
+
+def set_steps(radius: int) -> Column:
+    """Differences of `set_tile` that may hold links, of each pair of tiles one.
+
+    Counts in cells that are k apart differ by more than (k - 1) * width, and prints differ in
+    as many bits at least.
+    """
+    width = count_width(radius)
+    most = (radius + width - 1) // width
+    steps = [*range(most + 1), *range(CELL_BASE - most, CELL_BASE + most + 1)]
+    return F.array(*[F.lit(step).cast("long") for step in steps])
+
+
 def tile_steps(blocks: int, radius: int) -> Column:
     """Cell differences of tiles that may hold links, each pair of tiles once."""
     return F.array(*[F.lit(step).cast("long") for step in offsets(blocks, radius)])
@@ -231,12 +258,13 @@ def print_links(nodes: DataFrame, radius: int, least: float) -> DataFrame:
 
     `nodes` is a stored table of `prints` (PRINT_WORDS words), `node` numbers and `size`s of
     sets. Of two linked sizes the smaller is `least` of the larger or more: a tile holds
-    sizes of one band, and bands that are apart are not compared. Sets so small that any
+    sizes of one band and prints of like population counts; bands that are apart and counts
+    that differ by more than `radius` are not compared. Sets so small that any
     other shares less than `least` with them are left out.
     """
     smallest = math.ceil(least / (1 - least) - 1e-9) if least < 1 else math.inf
     placed = nodes.filter(F.col("size") >= F.lit(float(smallest)))
-    placed = placed.withColumn("tile", band_of(F.col("size"), least))
+    placed = placed.withColumn("tile", set_tile(band_of(F.col("size"), least), F.col("prints"), radius))
     words = [F.col("prints")[k].alias(f"p{k}") for k in range(PRINT_WORDS)]
     placed = placed.select("tile", "node", "size", *words)
     # Small corpora have more tiles than size asks for, so that all tasks have some.
@@ -250,8 +278,7 @@ def print_links(nodes: DataFrame, radius: int, least: float) -> DataFrame:
         return print_forest(arrays(x), arrays(y), radius, least)
 
     known = ["node", "size", *(f"p{k}" for k in range(PRINT_WORDS))]
-    steps = F.array(F.lit(0).cast("long"), F.lit(1).cast("long"))
-    return tile_links(placed, known, rows, steps, compared)
+    return tile_links(placed, known, rows, set_steps(radius), compared)
 
 
 def tile_links(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import base64
 import collections
 import hashlib
+import itertools
+import random
 import re
 import zlib
 
@@ -456,3 +458,41 @@ def test_quality_learns_from_one_row_of_an_id(spark, monkeypatch):
     monkeypatch.setattr(quality, "sample_features", counted)
     quality.fit_quality(docs, given, per_side=15)
     assert sizes == [{1: 10, 0: 15}]  # labels of other tables take no places of the sample
+
+
+def test_tiles_of_set_prints_by_population_counts(spark):
+    """Tiles hold like population counts, and no pair within the radius is skipped."""
+    chosen = random.Random(8)
+    bits = simhash.PRINT_WORDS * 64
+
+    def words(value):
+        cut = [value >> 64 * k & (1 << 64) - 1 for k in range(simhash.PRINT_WORDS)]
+        return [w - (1 << 64) if w >> 63 else w for w in cut]
+
+    values = []
+    for ones in range(0, bits + 1, 16):
+        value = sum(1 << b for b in chosen.sample(range(bits), ones))
+        near = value
+        for b in chosen.sample(range(bits), 12):
+            near ^= 1 << b
+        values += [value, near]
+    nodes = spark.createDataFrame(
+        [(words(v), i, chosen.choice([40, 46, 50])) for i, v in enumerate(values)],
+        "prints array<bigint>, node long, size long",
+    )
+    for radius in (3, 12, 80):
+        tiles = nodes.select("node", simhash.set_tile(simhash.band_of(F.col("size"), 0.8), F.col("prints"), radius).alias("tile"))
+        assert tiles.select("tile").distinct().count() > 3
+        found = {frozenset(r) for r in simhash.print_links(nodes, radius, 0.8).collect()}
+        size = {r["node"]: r["size"] for r in nodes.collect()}
+        label = list(range(len(values)))
+        for a, b in itertools.combinations(label[:], 2):
+            alike = min(size[a], size[b]) >= 0.8 * max(size[a], size[b])
+            if alike and (values[a] ^ values[b]).bit_count() <= radius:
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = [new if x == old else x for x in label]
+        linked = list(range(len(values)))
+        for a, b in found:
+            old, new = max(linked[a], linked[b]), min(linked[a], linked[b])
+            linked = [new if x == old else x for x in linked]
+        assert linked == label

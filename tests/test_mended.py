@@ -212,3 +212,17 @@ def test_the_embedder_is_an_option(spark):
 
 def lengths(texts):
     return [[float(len(text))] for text in texts]
+
+
+def test_an_upsert_of_all_keys_leaves_the_target_in_place(spark, tmp_path):
+    spark.range(900).selectExpr("id", "id AS k", "id AS v").write.parquet(str(tmp_path / "t"))
+    target = spark.read.parquet(str(tmp_path / "t"))
+    batch = spark.range(1000).selectExpr("id AS k", "id + 5 AS v")
+    given = (target, batch, {"k": F.col("k")}, ["v"], "id", [F.col("v").desc()])
+    whole, plain = upsert(*given, rows=900), upsert(*given)
+    assert "LeftOuter" in plan(plain) and "LeftOuter" not in plan(whole)
+    found = sorted(map(tuple, whole.where("k < 900").collect()))
+    assert found == [(i, i, i + 5) for i in range(900)]
+    assert whole.count() == 1000 and whole.select("id").distinct().count() == 1000
+    fewer = upsert(target, batch.where("k >= 10"), *given[2:], rows=900)
+    assert sorted(r["v"] for r in fewer.where("k < 12").collect()) == [*range(10), 15, 16]

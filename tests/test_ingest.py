@@ -152,6 +152,17 @@ def test_csv_round_trip_keeps_spaces_and_breaks(spark, tmp_path):
     assert tuple(back.first()) == (" a ", "01", 'x "y", z', None)
 
 
+def test_compressed_parts_hold_a_bounded_number_of_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("marketmill.sources.csv_files.PART_ROWS", 40)
+    head = ", ".join(f"'v' || id % {n} AS {name}" for n, (name, _) in enumerate(RAW_COLUMNS["olist_sellers"], 2))
+    df = spark.range(0, 100, 1, 1).selectExpr(*head.split(", "))
+    folder = tmp_path / "s.csv"
+    write_csv_table(df, str(folder), compressed=True)
+    assert len(list(folder.glob("part-*.csv.gz"))) == 3
+    back = read_csv_table(spark, str(folder), "olist_sellers")
+    assert back.count() == 100 and back.exceptAll(df).count() == 0
+
+
 def test_remote_copy_only_when_needed(spark, tmp_path, marketplace_files):
     empty = str(tmp_path / "empty")
     assert source_root(spark, marketplace_files, MARKETPLACE_FILES, "bucket") == marketplace_files

@@ -6,10 +6,12 @@ from datetime import date, datetime
 from decimal import Decimal as D
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketmill.operators.modes import modes_and_means
 from marketmill.plans import marts
 from marketmill.session import PARTITION_BYTES, TERABYTE, cluster_conf
+from tests.plans import plan
 
 CUSTOMERS = "customer_id bigint, first_name string, last_name string, email string, " \
     "country_code string, created_at date"
@@ -120,3 +122,58 @@ def test_cluster_shuffles_follow_the_data():
     small, large = cluster_conf(1), cluster_conf(40 * TERABYTE)
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert int(large["spark.sql.shuffle.partitions"]) * PARTITION_BYTES == 40 * TERABYTE
+
+
+def test_items_are_moved_once(spark, tmp_path):
+    """One exchange of single items, as narrow rows; reviews, hot orders and sellers are small."""
+    frames = {
+        "items": spark.range(5000).selectExpr(
+            "concat('s', id % 40) AS seller_id",
+            "CASE WHEN id % 3 = 0 THEN 'o1' WHEN id % 11 = 0 THEN NULL "
+            "ELSE concat('o', id) END AS order_id",
+            "CAST(99999999.99 AS decimal(10,2)) AS price",
+            "CAST(id % 7 * 0.01 AS decimal(10,2)) AS freight_value",
+        ),
+        "reviews": spark.range(3000).selectExpr(
+            "CASE WHEN id < 500 THEN 'o1' ELSE concat('o', id) END AS order_id",
+            "CAST(id % 5 AS int) AS review_score",
+        ),
+    }
+    stored = {}
+    for name, df in frames.items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    found = marts.seller_summary(stored["items"], stored["reviews"])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(found)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keyed = [line for line in text.splitlines() if "Arguments: hashpartitioning(order_id" in line]
+    assert len(keyed) == 3  # items; reviews per order, and dealt to the items
+    assert sum("REPARTITION_BY_COL" in line for line in keyed) == 1
+    assert "seller_id" not in "".join(keyed)
+    pairs = marts.item_reviews(stored["items"], stored["reviews"])
+    plain = pairs.groupBy("seller_id").agg(
+        F.count_distinct("order_id").alias("total_orders"),
+        F.sum("price").cast("decimal(20,2)").alias("total_revenue"),
+        F.sum("freight_value").cast("decimal(20,2)").alias("total_freight"),
+        F.try_divide(F.sum("review_score").cast("double"), F.count("review_score")).alias(
+            "avg_review_score"
+        ),
+        F.count("review_score").alias("reviewed_orders"),
+    )
+    assert found.count() == 40
+    assert found.exceptAll(plain).count() == 0 and plain.exceptAll(found).count() == 0
+
+
+def test_sums_of_money_are_whole_numbers(spark):
+    payments = spark.createDataFrame(
+        [("o1", D("0.01")), ("o1", D("99999999.99")), ("o2", None), ("o3", D("-0.05"))],
+        "order_id string, payment_value decimal(10,2)",
+    )
+    paid = marts.order_amounts(payments)
+    assert paid.schema["amount"].dataType.simpleString() == "decimal(20,2)"
+    assert rows_by_key(paid) == {"o1": (D("100000000.00"),), "o2": (None,), "o3": (D("-0.05"),)}
+    assert "decimal(20,2)" not in plan(payments.agg(marts.money_sum(payments, "payment_value")))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import threading
+
 import pytest
 
 from marketmill.checks.damage import damaged
+from marketmill.checks.rules import Models
 from marketmill.operators.quality import (
     AcceptedValues,
     ExpressionIsTrue,
@@ -20,6 +23,7 @@ from marketmill.operators.quality import (
     quality_report,
     repeated_values,
 )
+from marketmill.plans.build import MART_NAMESPACES
 from tests.plans import plan
 
 
@@ -128,3 +132,21 @@ def test_broken_rows_hash_their_key_once(spark):
     optimised = made._jdf.queryExecution().optimizedPlan().toString()
     assert optimised.count("md5(") == 1
     assert made.count() > 1
+
+
+def test_marts_of_a_report_are_stored_side_by_side(spark):
+    """Each waits until all have begun; one after the other, the first would break the barrier."""
+    begun = threading.Barrier(3, timeout=20)
+
+    class Shop:
+        def mart(self, name):
+            return name
+
+        def stored(self, df):
+            begun.wait()
+            return f"stored {df}"
+
+    shop = Shop()
+    shop.spark = spark
+    models = Models(shop).with_marts(*MART_NAMESPACES)
+    assert models == {name: f"stored {name}" for name in MART_NAMESPACES}

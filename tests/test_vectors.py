@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from marketmill.functions.vectors import checked_vector, cosine_similarity
 from marketmill.operators.nearest import (
+    best_of_block,
+    best_of_pairs,
     build_lists,
     nearest,
     nearest_for_each,
@@ -162,3 +166,52 @@ def test_questions_do_not_pass_the_driver(spark, corpus, monkeypatch):
     assert found.keys() == {i for i, v in vectors.items() if v}
     for name, hits in found.items():
         assert hits == (expected(vectors[name], 3) if any(vectors[name]) else [0, 1, 2])
+
+
+def test_a_pair_of_blocks_is_answered_in_one_batch():
+    """Not a batch for each question; rows without a direction, ties and NULL ids as before."""
+    questions = pa.array([7, 8, 9])
+    vectors = pa.array([[1.0, 0.0], None, [0.0, 0.0]], pa.list_(pa.float32()))
+    ids = pa.array([5, 4, None, 1])
+    values = pa.array([[2.0, 0.0], [1.0, 0.0], [0.0, 1.0], None], pa.list_(pa.float32()))
+    found = best_of_block(questions, vectors, ids, values, 2)
+    assert isinstance(found, pa.RecordBatch)
+    assert list(zip(*found.to_pydict().values(), strict=True)) == [
+        (7, 4, 1.0), (7, 5, 1.0), (8, 1, None), (8, 4, None), (9, 1, None), (9, 4, None)
+    ]
+    whole = best_of_block(questions.slice(0, 1), vectors.slice(0, 1), ids, values, 9)
+    assert whole.to_pydict()["id"] == [4, 5, None, 1]
+    assert whole.to_pydict()["similarity"] == [1.0, 1.0, 0.0, None]
+
+
+def test_a_batch_of_pairs_is_given_back_before_the_next():
+    kinds = pa.struct([("question", pa.int64()), ("vector", pa.list_(pa.float32()))])
+    held = []
+
+    class Pairs:
+        """Stands for the joined rows: hands the function of the tasks over."""
+
+        schema = StructType.fromDDL(
+            "asked array<struct<question: bigint, vector: array<float>>>, "
+            "ids array<bigint>, vectors array<array<float>>"
+        )
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    def batches():
+        for _ in range(3):
+            asked = pa.array([[{"question": 1, "vector": [1.0, 0.0]}]], pa.list_(kinds))
+            ids = pa.array([list(range(50_000))], pa.list_(pa.int64()))
+            vectors = pa.array([[[1.0, 2.0]] * 50_000], pa.list_(pa.list_(pa.float32())))
+            made = [pa.RecordBatch.from_arrays([asked, ids, vectors], names=["asked", "ids", "vectors"])]
+            del asked, ids, vectors
+            yield made.pop()
+            held.append(pa.total_allocated_bytes())
+
+    before = pa.total_allocated_bytes()
+    assert sum(found.num_rows for found in best_of_pairs(Pairs(), 5)(batches())) == 15
+    assert max(held) - before < 100_000

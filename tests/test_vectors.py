@@ -184,7 +184,7 @@ def test_a_pair_of_blocks_is_answered_in_one_batch():
     assert whole.to_pydict()["similarity"] == [1.0, 1.0, 0.0, None]
 
 
-def test_a_batch_of_pairs_is_given_back_before_the_next():
+def test_a_batch_of_pairs_is_given_back_before_the_next(spark):
     kinds = pa.struct([("question", pa.int64()), ("vector", pa.list_(pa.float32()))])
     held = []
 
